@@ -31,3 +31,62 @@ def seasonal_naive_forecast(df: DataFrame, keys: Sequence[str], t: str, value: s
         F.col("__s.yhat").alias(f"predicted_{value}"),
         F.lit(model).alias("model"),
         F.col("__s.h").cast("int").alias("forecast_horizon_quarters"))
+
+
+def _step_features(state: DataFrame, keys: Sequence[str], t: str, measures: Sequence[str],
+                   flag_names: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """One future row per series from the last six rows of every measure."""
+    from strata.functions.expressions import cycle_features
+    tails = None
+    for m in measures:
+        tl = series_tail(state, keys, t, m, k=6, rolls=spec.ROLLS)
+        tails = tl if tails is None else tails.join(tl.drop("last_date"), list(keys))
+    consts = state.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in carry])
+    step = tails.join(consts, list(keys)).withColumn(
+        t, F.add_months("last_date", spec.FORECAST_STEP_MONTHS))
+    step = step.withColumns(cycle_features(t, spec.QUARTER_PERIOD))
+    # calendar-event dummies are unknown for the future and fixed to 0
+    return step.withColumns({f: F.lit(0) for f in flag_names})
+
+
+def recursive_forecast(model, features_df: DataFrame, keys: Sequence[str], t: str, target: str,
+                       feature_cols: Sequence[str], horizon: int = spec.FORECAST_HORIZON,
+                       measures: Sequence[str] = (spec.VAC, spec.WAGE),
+                       flag_names: Sequence[str] = ("is_covid", "is_post_covid_boom"),
+                       carry: Sequence[str] = ("geo_encoded", "naics_encoded"),
+                       model_name: str = "gbt_regressor") -> DataFrame:
+    """``horizon`` steps ahead for every series; each prediction becomes the
+    newest value of the target for the next step (the other measure is
+    unknown there, so its newest lags turn NULL as the horizon grows).
+
+    The loop runs ``horizon`` batch jobs over all series at once. State is
+    only the last six rows per series, checkpointed to the shared checkpoint
+    folder after each step, so lineage stays short and a lost executor only
+    recomputes one step.
+    """
+    from pyspark.sql import Window
+    from strata.forecasting.models import predict
+    from strata.session import checkpoint_dir
+
+    checkpoint_dir(features_df.sparkSession)
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy(F.col(t).desc())
+    cols = [*keys, t, *measures, *carry]
+    state = (features_df.select(*cols).withColumn("__r", F.row_number().over(w))
+             .filter(F.col("__r") <= 6).drop("__r").checkpoint(eager=True))
+    outputs = []
+    for h in range(1, horizon + 1):
+        step = _step_features(state, keys, t, measures, flag_names, carry)
+        scored = predict(model, step, feature_cols, out="__yhat").checkpoint(eager=True)
+        outputs.append(scored.select(
+            t, *keys, F.col("__yhat").alias(f"predicted_{target}"), F.lit(model_name).alias("model"),
+            F.lit(h).alias("forecast_horizon_quarters")))
+        new_rows = scored.select(*keys, t, *carry,
+                                 *[(F.col("__yhat") if m == target else F.lit(None).cast("double")).alias(m)
+                                   for m in measures])
+        state = (state.unionByName(new_rows.select(*cols)).withColumn("__r", F.row_number().over(w))
+                 .filter(F.col("__r") <= 6).drop("__r").checkpoint(eager=True))
+    out = outputs[0]
+    for o in outputs[1:]:
+        out = out.unionByName(o)
+    return out

@@ -474,3 +474,95 @@ QUERIES["mart_monthly"] = FX.monthly_mart
 QUERIES["mart_quarterly"] = FX.quarterly_mart
 QUERIES["mart_employment"] = FX.employment_mart
 QUERIES["ml_features"] = FX.ml_features
+
+
+# ------------------------------------------------------- 2.10 forecasting
+from strata.forecasting import evaluate as EV  # noqa: E402
+from strata.forecasting import models as MD  # noqa: E402
+from strata.forecasting.recursive import recursive_forecast  # noqa: E402
+
+
+def _split(spark, d, target=VPK):
+    return EV.temporal_split(FX.ml_features(spark, d), T, target, spec.FIXTURE_SPLIT_CUTOFF,
+                             spec.FIXTURE_VAL_CUTOFF)
+
+
+@q("temporal_split")
+def _(spark, d):
+    return _split(spark, d).select(*QK, T, VPK, "split", "tuning")
+
+
+@q("forecast_metrics")
+def _(spark, d):
+    return EV.forecast_metrics(_split(spark, d), VPK, f"{VPK}_lag4", ["split"])
+
+
+@q("naive_baseline")
+def _(spark, d):
+    f = FX.ml_features(spark, d)
+    return EV.naive_baseline(f, T, VPK, spec.FIXTURE_SPLIT_CUTOFF).unionByName(
+        EV.naive_baseline(f, T, WAGE, spec.FIXTURE_SPLIT_CUTOFF))
+
+
+def _fitted(spark, d, target=VPK):
+    """(model, train rows, test rows) of the registered tree budget."""
+    s = _split(spark, d, target)
+    feats = EV.feature_set(target)
+    train = EV.training_frame(s.filter(F.col("split") == "train"), feats, target)
+    model = EV.fit(train, feats, target, spec.QUERY_PARAMS[target])
+    return model, s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+@q("fit_boosted_trees")
+def _(spark, d):
+    model, _, _ = _fitted(spark, d)
+    return spark.createDataFrame(MD.tree_summary(model), "tree int, weight double, nodes int, depth int")
+
+
+@q("predict")
+def _(spark, d):
+    model, _, test = _fitted(spark, d)
+    return MD.predict(model, test, EV.feature_set(VPK)).select(*QK, T, VPK, "prediction")
+
+
+def _importance(spark, d):
+    model, _, _ = _fitted(spark, d)
+    return spark.createDataFrame(MD.feature_importance(model, EV.feature_set(VPK)),
+                                 "feature string, importance double")
+
+
+@q("feature_importance")
+def _(spark, d):
+    return _importance(spark, d)
+
+
+@q("rank_importance")
+def _(spark, d):
+    return O.rank_importance(_importance(spark, d), "importance")
+
+
+@q("ablation")
+def _(spark, d):
+    s = _split(spark, d)
+    return EV.ablation(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"),
+                       EV.feature_set(VPK), VPK, spec.QUERY_PARAMS[VPK])
+
+
+@q("permutation_importance")
+def _(spark, d):
+    model, _, test = _fitted(spark, d)
+    return EV.permutation_importance(model, test, EV.feature_set(VPK), VPK, spec.PERMUTATION_REPEATS)
+
+
+@q("random_search")
+def _(spark, d):
+    s = _split(spark, d)
+    space = {**spec.SEARCH_SPACE, "n_estimators": (10, 30)}
+    return EV.random_search(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"),
+                            EV.feature_set(VPK), VPK, space, spec.QUERY_SEARCH_TRIALS)
+
+
+@q("recursive_forecast")
+def _(spark, d):
+    model, _, _ = _fitted(spark, d)
+    return recursive_forecast(model, FX.ml_features(spark, d), QK, T, VPK, EV.feature_set(VPK))

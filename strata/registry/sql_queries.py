@@ -252,3 +252,35 @@ for _k, _c in {"clean_employment": "employment_clean", "clean_monthly": "monthly
 
 # ------------------------------------------------------------ 2.10
 SQL["seasonal_naive_forecast"] = with_("SELECT * FROM seasonal_naive", "seasonal_naive")
+
+SQL["temporal_split"] = with_(f"""
+SELECT {K}, {VPK},
+       CASE WHEN date_parsed < DATE '2000-04-01' THEN 'train' ELSE 'test' END AS split,
+       CASE WHEN date_parsed < DATE '1999-01-01' THEN 'fit'
+            WHEN date_parsed < DATE '2000-04-01' THEN 'validate' END AS tuning
+FROM features WHERE {VPK} IS NOT NULL""", "features")
+
+
+def _metrics(y: str, yhat: str) -> str:
+    e = f"({y} - {yhat})"
+    return (f"count(*) AS n, round(sqrt(avg({e} * {e})), 9) AS rmse, round(avg(abs({e})), 9) AS mae, "
+            f"round(avg(abs({e} / nullif({y}, 0))) * 100, 9) AS mape, "
+            f"round(1 - sum({e} * {e}) / (count(*) * var_pop({y})), 9) AS r2")
+
+
+SQL["forecast_metrics"] = with_(f"""
+SELECT split, {_metrics('y', 'yhat')}
+FROM (SELECT CASE WHEN date_parsed < DATE '2000-04-01' THEN 'train' ELSE 'test' END AS split,
+             {VPK} AS y, {VPK}_lag4 AS yhat FROM features WHERE {VPK} IS NOT NULL) s
+WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY split""", "features")
+
+
+def _naive(target: str) -> str:
+    src = " UNION ALL ".join(
+        f"SELECT 'naive_lag{k}' AS predictor, {target} AS y, {target}_lag{k} AS yhat FROM features "
+        f"WHERE date_parsed >= DATE '2000-04-01' AND {target} IS NOT NULL" for k in (1, 4))
+    return (f"SELECT predictor, {_metrics('y', 'yhat')}, '{target}' AS target FROM ({src}) s "
+            f"WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY predictor")
+
+
+SQL["naive_baseline"] = with_(f"{_naive(VPK)} UNION ALL {_naive('avg_offered_hourly_wage')}", "features")
