@@ -42,6 +42,56 @@ def q(name: str):
     return deco
 
 
+# -------------------------------------------------------- 2.1 sources/sinks
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local
+    on a cluster: ``spark.checkpoint.dir`` names shared storage there)."""
+    import uuid
+    from strata.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/strata-io/{name}-{uuid.uuid4().hex}"
+
+
+@q("read_raw_csv")
+def _(spark, d):
+    from strata.plans.clean import clean_quarterly
+    from strata.sources.io import read_raw_csv
+    raw = P.quarterly_long(spark, d)
+    cols = [F.col(f"`{c}`") if c in raw.columns else F.lit("").alias(c) for c in spec.RAW_QUARTERLY_COLUMNS]
+    path = _scratch(spark, "raw-quarterly")
+    raw.select(*cols).write.option("header", True).csv(path)
+    return clean_quarterly(read_raw_csv(spark, path, spec.RAW_QUARTERLY_SCHEMA))
+
+
+@q("write_partitioned")
+def _(spark, d):
+    from strata.sources.io import read_partitioned_parquet, write_partitioned
+    path = _scratch(spark, "monthly-curated")
+    write_partitioned(FX.monthly_curated(spark, d), path, ("Year", "GEO"))
+    return read_partitioned_parquet(spark, path)
+
+
+@q("read_partitioned_parquet")
+def _(spark, d):
+    from strata.sources.io import read_partitioned_parquet, write_partitioned
+    path = _scratch(spark, "quarterly-curated")
+    write_partitioned(FX.quarterly_curated(spark, d), path, ("Year", "GEO"))
+    return read_partitioned_parquet(spark, path).filter(F.col("Year") >= 2000)   # prunes directories
+
+
+@q("load_threshold_seed")
+def _(spark, d):
+    from strata.sources.io import load_threshold_seed
+    path = _scratch(spark, "threshold-seed")
+    P.thresholds(spark, d).write.option("header", True).csv(path)
+    return load_threshold_seed(spark, path)
+
+
+@q("materialize")
+def _(spark, d):
+    from strata.sources.io import materialize
+    return materialize(FX.monthly_stage(spark, d), "stg_monthly_vacancies", "view")
+
+
 # ----------------------------------------------------------- 2.2 projections
 @q("select_columns")
 def _(spark, d):
