@@ -70,17 +70,20 @@ def forecast_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (),
     return rows.groupBy(*by).agg(*_metric_aggs(F.col(y), F.col(yhat), digits))
 
 
-def naive_baseline(df: DataFrame, t: str, target: str, cutoff: str, lags: Sequence[int] = (1, 4),
-                   digits: int | None = 9) -> DataFrame:
+def naive_baseline(df: DataFrame, t: str, targets: str | Sequence[str], cutoff: str,
+                   lags: Sequence[int] = (1, 4), digits: int | None = 9) -> DataFrame:
     """Metrics of the lag-k predictors (``{target}_lag{k}`` columns of the
-    feature table) on the test rows (t ≥ cutoff, target known)."""
-    test = df.filter((F.col(t) >= F.lit(cutoff).cast("date")) & F.col(target).isNotNull())
-    preds = F.array(*[F.struct(F.lit(f"naive_lag{k}").alias("predictor"),
-                               F.col(f"{target}_lag{k}").alias("yhat")) for k in lags])
-    long = test.select(F.col(target).alias("y"), F.explode(preds).alias("p")) \
-               .select("y", "p.predictor", "p.yhat")
-    return (forecast_metrics(long, "y", "yhat", ["predictor"], digits)
-            .withColumn("target", F.lit(target)))
+    feature table) on the test rows (t ≥ cutoff, target known), for every
+    target and lag in one scan: rows are exploded to (target, predictor,
+    y, ŷ) and the metrics are one grouped aggregate."""
+    targets = [targets] if isinstance(targets, str) else list(targets)
+    test = df.filter(F.col(t) >= F.lit(cutoff).cast("date"))
+    pairs = F.array(*[F.struct(F.lit(tg).alias("target"), F.lit(f"naive_lag{k}").alias("predictor"),
+                               F.col(tg).cast("double").alias("y"),
+                               F.col(f"{tg}_lag{k}").cast("double").alias("yhat"))
+                      for tg in targets for k in lags])
+    long = test.select(F.explode(pairs).alias("p")).select("p.*")
+    return forecast_metrics(long, "y", "yhat", ["target", "predictor"], digits)
 
 
 def rmse_reduction_pct(model_rmse: float, baseline_rmse: float) -> float:

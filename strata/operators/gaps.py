@@ -39,15 +39,14 @@ def complete_panel(df: DataFrame, keys: Sequence[str], t: str, start: str,
     is the product of their distinct values.
     """
     keys = list(keys)
-    spark = df.sparkSession
-    last = df.agg(F.max(t)).scalar()
-    seen = df.agg(F.collect_set(t)).scalar()
-    gap_arr = F.array_except(_calendar(start, last, step_months), seen)
     first, rest = keys[0], keys[1:]
+    # one scalar subquery: last period, observed periods, label sets
+    summary = df.agg(F.struct(F.max(t).alias("last"), F.collect_set(t).alias("seen"),
+                              *[F.collect_set(k).alias(f"labels_{i}") for i, k in enumerate(rest)])).scalar()
+    gap_arr = F.array_except(_calendar(start, summary["last"], step_months), summary["seen"])
     grid = df.select(first).distinct()
-    for k in rest:
-        labels = df.agg(F.collect_set(k)).scalar()
-        grid = grid.select(*grid.columns, F.explode(labels).alias(k))
+    for i, k in enumerate(rest):
+        grid = grid.select(*grid.columns, F.explode(summary[f"labels_{i}"]).alias(k))
     grid = grid.select(*keys, F.explode(gap_arr).alias(t))
     if year_col:
         grid = grid.withColumn(year_col, F.year(t))

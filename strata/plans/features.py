@@ -23,6 +23,18 @@ KEYS = ["geo", "naics"]
 T = "date_parsed"
 
 
+def materialized(mart: DataFrame) -> DataFrame:
+    """Checkpoint the mart into the shared checkpoint folder.
+
+    The feature stage reads its input several times (panel completion needs
+    the calendar and label sets of the whole input); a reliable checkpoint
+    computes the mart once, cuts the lineage, and survives executor loss.
+    """
+    from strata.session import checkpoint_dir
+    checkpoint_dir(mart.sparkSession)
+    return mart.checkpoint(eager=True)
+
+
 def gap_cleaned(mart: DataFrame, start: str, exclude_geos: Sequence[str],
                 null_share: float = spec.UNRELIABLE_NULL_PCT,
                 null_run: int = spec.UNRELIABLE_NULL_RUN) -> DataFrame:

@@ -67,12 +67,14 @@ def tier_rules() -> list[tuple[str, object]]:
     ]
 
 
-def mart_quarterly(stage: DataFrame, thresholds: DataFrame, as_of: str,
+def mart_quarterly(stage: DataFrame, thresholds: DataFrame | None, as_of: str,
                    recent_months: int = spec.RECENT_MONTHS,
                    threshold_max_rows: int | None = None) -> DataFrame:
     """YoY %, demand rank, yearly p50/p75, sustained-demand %, threshold, tier.
 
     ``as_of`` replaces ``current_date()`` so results are reproducible.
+    ``thresholds`` is the per-geo wage-threshold dimension; pass ``None`` when
+    ``stage`` already carries ``lmia_high_wage_threshold``.
     """
     series = Window.partitionBy("geo", "naics").orderBy("date_parsed")
     geo_year = Window.partitionBy("geo", "year")
@@ -93,8 +95,9 @@ def mart_quarterly(stage: DataFrame, thresholds: DataFrame, as_of: str,
                              "p75_vacancy_rate", as_of, recent_months)
     # (geo, date): demand rank
     d = d.withColumn("demand_rank", F.when(rate.isNotNull(), F.rank().over(geo_date)))
-    th = thresholds.select("geo", "lmia_high_wage_threshold")
-    d = lookup_dimension(d, th, "geo", threshold_max_rows)
+    if thresholds is not None:
+        th = thresholds.select("geo", "lmia_high_wage_threshold")
+        d = lookup_dimension(d, th, "geo", threshold_max_rows)
     d = d.withColumn("foreign_accessibility_tier", X.classify_tier(tier_rules(), spec.TIER_LABELS[-1]))
     return d.select(
         "date_parsed", "geo", "year", "naics", "job_vacancies", "job_vacancy_rate",

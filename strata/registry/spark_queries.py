@@ -549,9 +549,7 @@ def _(spark, d):
 
 @q("naive_baseline")
 def _(spark, d):
-    f = FX.ml_features(spark, d)
-    return EV.naive_baseline(f, T, VPK, spec.FIXTURE_SPLIT_CUTOFF).unionByName(
-        EV.naive_baseline(f, T, WAGE, spec.FIXTURE_SPLIT_CUTOFF))
+    return EV.naive_baseline(FX.ml_features(spark, d), T, [VPK, WAGE], spec.FIXTURE_SPLIT_CUTOFF)
 
 
 def _fitted(spark, d, target=VPK):

@@ -81,6 +81,24 @@ def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     raise ValueError(f"unknown materialisation {kind!r}")
 
 
+_SOURCES: dict[tuple, DataFrame] = {}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's parquet tables (``{sf_dir}/{name}.parquet``).
+
+    The source DataFrame (schema and file listing) is reused per session
+    while the file is unchanged, so building a query does not re-read
+    footers; every query still scans the data.
+    """
+    import os
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        stamp = os.path.getmtime(path)
+    except OSError:
+        return spark.read.parquet(path)
+    key = (id(spark), path, stamp)
+    df = _SOURCES.get(key)
+    if df is None:
+        df = _SOURCES[key] = spark.read.parquet(path)
+    return df

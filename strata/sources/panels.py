@@ -3,8 +3,9 @@
 See FIXTURES.md §2. Each panel is one aggregate over a join of fact and
 dimension tables, so its cost grows with the fact tables:
 
-* measures that must not depend on row order are summed as
-  ``decimal(18,2)`` and only then turned into doubles;
+* measures that must not depend on row order are rounded to
+  ``decimal(18,2)`` per row and summed exactly as whole cents (a long),
+  then turned into doubles;
 * the nation dimension (fixed 25 rows in the schema, still size-checked) is
   broadcast; ``part``/``supplier``/``customer`` are joined without hints so
   Spark chooses broadcast or sort-merge from their statistics and AQE can
@@ -25,17 +26,41 @@ from strata.sources.io import read_driver_table
 NATION_MAX_ROWS = 10_000
 
 
-def _dec(c: str) -> Column:
-    return F.col(c).cast("decimal(18,2)")
+def _cents(c: str) -> Column:
+    """The value rounded to ``decimal(18,2)`` as an exact count of cents.
+
+    Summing the unscaled long is exact and order-independent like a decimal
+    sum, without the arbitrary-precision accumulator of ``decimal(28,2)``.
+    """
+    return (F.col(c).cast("decimal(18,2)") * F.lit(100)).cast("long")
+
+
+def _from_cents(c: Column) -> Column:
+    return c.cast("double") / F.lit(100.0)
 
 
 def _period(ts: str, unit: str) -> Column:
     return F.to_date(F.date_trunc(unit, F.col(ts)))
 
 
+_SMALL_CHECKED: dict[tuple, bool] = {}
+
+
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation dimension, broadcast after a (memoised) row-count check."""
+    import os
     n = read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return bounded_broadcast(n, NATION_MAX_ROWS)
+    path = f"{sf_dir.rstrip('/')}/nation.parquet"
+    try:
+        key = (path, os.path.getmtime(path))
+    except OSError:          # not a local path: check every time
+        key = None
+    if key is not None and key in _SMALL_CHECKED:
+        return F.broadcast(n) if _SMALL_CHECKED[key] else n
+    small = n.limit(NATION_MAX_ROWS + 1).count() <= NATION_MAX_ROWS
+    if key is not None:
+        _SMALL_CHECKED[key] = small
+    return F.broadcast(n) if small else n
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +83,7 @@ def quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """geo × sector (p_type) × quarter with suppression-style NULLs."""
     li = read_driver_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_returnflag",
-        _dec("l_extendedprice").alias("price"), _dec("l_quantity").alias("qty"),
+        _cents("l_extendedprice").alias("price"), _cents("l_quantity").alias("qty"),
         _period("l_shipdate", "quarter").alias("date_parsed"))
     p = read_driver_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     s = read_driver_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -79,7 +104,7 @@ def quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~suppressed, F.lit(100.0) * F.col("vac") / F.col("n")).alias("job_vacancy_rate"),
         F.col("n").cast("double").alias("payroll_employees"),
         F.when((F.col("n") % 7) != 0,
-               F.col("sum_price").cast("double") / F.col("sum_qty").cast("double"))
+               _from_cents(F.col("sum_price")) / _from_cents(F.col("sum_qty")))
          .alias("avg_offered_hourly_wage"))
 
 
@@ -91,7 +116,7 @@ def _employment_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     employee type of the raw long form.
     """
     li = read_driver_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_returnflag", _dec("l_quantity").alias("qty"))
+        "l_orderkey", "l_partkey", "l_returnflag", _cents("l_quantity").alias("qty"))
     o = read_driver_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", _period("o_orderdate", "month").alias("date_parsed"))
     c = read_driver_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -109,8 +134,8 @@ def _employment_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(
         "date_parsed", "geo", F.year("date_parsed").alias("year"),
         F.when(F.col("gid") == 0, F.col("naics")).otherwise(F.lit(spec.FIXTURE_AGGREGATE)).alias("naics"),
-        F.col("total").cast("double").alias("total_employment"),
-        F.col("salaried").cast("double").alias("salaried_employment"))
+        _from_cents(F.col("total")).alias("total_employment"),
+        _from_cents(F.col("salaried")).alias("salaried_employment"))
 
 
 def employment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +143,17 @@ def employment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _employment_agg(spark, sf_dir).drop("salaried_employment")
 
 
+def threshold_column(factor: float = spec.FIXTURE_THRESHOLD_FACTOR) -> Column:
+    """The fixture threshold as a window over the panel's geo (no second scan).
+
+    The window input is the aggregated panel, so a geo's group is bounded by
+    sectors × periods however many fact rows the geo had.
+    """
+    from pyspark.sql import Window
+    return (F.percentile(F.col("avg_offered_hourly_wage"), F.lit(0.5)).over(Window.partitionBy("geo"))
+            * F.lit(factor))
+
+
 def thresholds(spark: SparkSession, sf_dir: str, quarterly_df: DataFrame | None = None) -> DataFrame:
     """Per-geo wage threshold: 1.05 × the geo's median offered wage."""
     q = quarterly_df if quarterly_df is not None else quarterly(spark, sf_dir)
