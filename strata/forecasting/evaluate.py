@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from strata import spec
 from strata.forecasting import models as MD
 from strata.functions.expressions import nullif_zero
-from strata.session import checkpoint_dir
+from strata.session import cut_lineage
 
 ROWS_PER_TRAINING_PARTITION = 200_000
 
@@ -101,11 +101,10 @@ def training_frame(df: DataFrame, features: Sequence[str], target: str) -> DataF
     ``ROWS_PER_TRAINING_PARTITION`` rows — small inputs become one partition,
     which keeps per-tree job latency low; large ones keep full parallelism.
     """
-    checkpoint_dir(df.sparkSession)
-    d = MD.with_missing_indicators(df.filter(F.col(target).isNotNull()), features)
-    n = d.count()
+    d = cut_lineage(MD.with_missing_indicators(df.filter(F.col(target).isNotNull()), features), "train")
+    n = d.count()                       # parquet footers: no data pass
     parts = max(1, math.ceil(n / ROWS_PER_TRAINING_PARTITION))
-    return d.repartition(parts).checkpoint(eager=True)
+    return d.repartition(parts) if d.rdd.getNumPartitions() != parts else d
 
 
 def fit(train: DataFrame, features: Sequence[str], target: str, params: Mapping | None = None,
@@ -135,7 +134,7 @@ def ablation(train: DataFrame, valid: DataFrame, features: Sequence[str], target
     spark = train.sparkSession
     feats = list(features)
     tr = training_frame(train, feats, target)
-    va = MD.with_missing_indicators(valid.filter(F.col(target).isNotNull()), feats).checkpoint(eager=True)
+    va = cut_lineage(MD.with_missing_indicators(valid.filter(F.col(target).isNotNull()), feats), "valid")
 
     def run(drop):
         keep = [f for f in feats if f != drop]
@@ -167,7 +166,7 @@ def permutation_importance(model, test: DataFrame, features: Sequence[str], targ
     n = base_rows.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
     rid = F.xxhash64(*[F.col(c).cast("string") for c in base_rows.columns])
-    rows = base_rows.withColumn("__rid", rid).checkpoint(eager=True)
+    rows = cut_lineage(base_rows.withColumn("__rid", rid), "perm-test")
     copies = rows.select("*", F.explode(F.array(*[F.lit(f) for f in feats])).alias("__feat"),
                          F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("__rep"))
     copies = copies.withColumn("__bucket", F.pmod(F.xxhash64("__rid", F.lit(seed)), F.lit(buckets)))
@@ -217,7 +216,7 @@ def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], t
     spark = train.sparkSession
     feats = list(features)
     tr = training_frame(train, feats, target)
-    va = MD.with_missing_indicators(valid.filter(F.col(target).isNotNull()), feats).checkpoint(eager=True)
+    va = cut_lineage(MD.with_missing_indicators(valid.filter(F.col(target).isNotNull()), feats), "valid")
     draws = draw_params(space, n_trials, seed)
 
     def run(i):

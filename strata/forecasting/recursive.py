@@ -60,32 +60,31 @@ def recursive_forecast(model, features_df: DataFrame, keys: Sequence[str], t: st
     unknown there, so its newest lags turn NULL as the horizon grows).
 
     The loop runs ``horizon`` batch jobs over all series at once. State is
-    only the last six rows per series, checkpointed to the shared checkpoint
+    only the last six rows per series, written to the shared checkpoint
     folder after each step, so lineage stays short and a lost executor only
     recomputes one step.
     """
     from pyspark.sql import Window
     from strata.forecasting.models import predict
-    from strata.session import checkpoint_dir
+    from strata.session import cut_lineage
 
-    checkpoint_dir(features_df.sparkSession)
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(F.col(t).desc())
     cols = [*keys, t, *measures, *carry]
-    state = (features_df.select(*cols).withColumn("__r", F.row_number().over(w))
-             .filter(F.col("__r") <= 6).drop("__r").checkpoint(eager=True))
+    state = cut_lineage(features_df.select(*cols).withColumn("__r", F.row_number().over(w))
+                        .filter(F.col("__r") <= 6).drop("__r"), "forecast-state")
     outputs = []
     for h in range(1, horizon + 1):
         step = _step_features(state, keys, t, measures, flag_names, carry)
-        scored = predict(model, step, feature_cols, out="__yhat").checkpoint(eager=True)
+        scored = cut_lineage(predict(model, step, feature_cols, out="__yhat"), f"forecast-step{h}")
         outputs.append(scored.select(
             t, *keys, F.col("__yhat").alias(f"predicted_{target}"), F.lit(model_name).alias("model"),
             F.lit(h).alias("forecast_horizon_quarters")))
         new_rows = scored.select(*keys, t, *carry,
                                  *[(F.col("__yhat") if m == target else F.lit(None).cast("double")).alias(m)
                                    for m in measures])
-        state = (state.unionByName(new_rows.select(*cols)).withColumn("__r", F.row_number().over(w))
-                 .filter(F.col("__r") <= 6).drop("__r").checkpoint(eager=True))
+        state = cut_lineage(state.unionByName(new_rows.select(*cols)).withColumn("__r", F.row_number().over(w))
+                            .filter(F.col("__r") <= 6).drop("__r"), "forecast-state")
     out = outputs[0]
     for o in outputs[1:]:
         out = out.unionByName(o)

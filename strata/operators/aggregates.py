@@ -205,6 +205,24 @@ def unreliable_series(profile: DataFrame, keys: Sequence[str], max_share: float
                    .select(*keys))
 
 
+def drop_unreliable(df: DataFrame, keys: Sequence[str], t: str, value: str,
+                    max_share: float = 0.5, max_run: int = 4) -> DataFrame:
+    """Keep only series whose NULL share is at most ``max_share`` and whose
+    longest NULL run is below ``max_run`` — the profile and the filter in
+    one pass of window aggregates over the series key (no anti-join, the
+    input is read once, all windows share one exchange)."""
+    v = _q(value)
+    kk = [_q(k) for k in keys]
+    w_run = (Window.partitionBy(*kk).orderBy(_q(t))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = df.withColumn("__island", F.count(v).over(w_run))
+    d = d.withColumn("__run", F.count_if(v.isNull()).over(Window.partitionBy(*kk, F.col("__island"))))
+    ws = Window.partitionBy(*kk)
+    keep = ((F.count_if(v.isNull()).over(ws) / F.count(F.lit(1)).over(ws) <= F.lit(max_share))
+            & (F.max("__run").over(ws) < F.lit(max_run)))
+    return d.withColumn("__keep", keep).filter("__keep").drop("__island", "__run", "__keep")
+
+
 def period_bounds(df: DataFrame, keys: Sequence[str], t: str) -> DataFrame:
     """First and last date per series (or overall when ``keys`` is empty)."""
     return df.groupBy(*[_q(k) for k in keys]).agg(F.min(_q(t)).alias("min_date"),

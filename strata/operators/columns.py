@@ -101,18 +101,17 @@ def recent_window_flag(df: DataFrame, t: str, as_of: str, months: int = 24,
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
-    """0-based code of each label in sorted label order.
+    """0-based code of each label in sorted label order (NULL stays NULL).
 
-    The distinct labels are ranked once (one row per label, so the global
-    ordering window is over a bounded set) and joined back; AQE broadcasts
-    the label table when its measured size is small.
+    The sorted label vocabulary is one scalar subquery (``collect_set`` is
+    combined map-side, so only distinct labels move) and each row looks its
+    label up with ``array_position`` — no join, no global sort of the rows.
+    The vocabulary of a categorical key (geos, sectors) is small and
+    independent of the row count.
     """
-    labels = (df.select(F.col(f"`{col}`").alias("__label")).distinct()
-                .filter(F.col("__label").isNotNull()))
-    from pyspark.sql import Window
-    codes = labels.select("__label",
-                          (F.row_number().over(Window.orderBy("__label")) - 1).alias(out))
-    return (df.join(codes, F.col(f"`{col}`") == F.col("__label"), "left").drop("__label"))
+    c = F.col(f"`{col}`")
+    vocab = df.agg(F.sort_array(F.collect_set(c))).scalar()
+    return df.withColumn(out, (F.array_position(vocab, c) - 1).cast("int"))
 
 
 def next_period(df: DataFrame, keys: Sequence[str], t: str, months: int = 3,

@@ -24,15 +24,14 @@ T = "date_parsed"
 
 
 def materialized(mart: DataFrame) -> DataFrame:
-    """Checkpoint the mart into the shared checkpoint folder.
+    """Write the mart to the shared checkpoint folder and read it back.
 
     The feature stage reads its input several times (panel completion needs
-    the calendar and label sets of the whole input); a reliable checkpoint
-    computes the mart once, cuts the lineage, and survives executor loss.
+    the calendar and label sets of the whole input); materialising computes
+    the mart once, cuts the lineage and survives executor loss.
     """
-    from strata.session import checkpoint_dir
-    checkpoint_dir(mart.sparkSession)
-    return mart.checkpoint(eager=True)
+    from strata.session import cut_lineage
+    return cut_lineage(mart, "mart")
 
 
 def gap_cleaned(mart: DataFrame, start: str, exclude_geos: Sequence[str],
@@ -41,9 +40,9 @@ def gap_cleaned(mart: DataFrame, start: str, exclude_geos: Sequence[str],
     """Complete the panel, drop excluded geos and unreliable vacancy series."""
     full = G.complete_panel(mart, KEYS, T, start, spec.FORECAST_STEP_MONTHS)
     kept = C.exclude_members(full, "geo", exclude_geos)
-    profile = A.series_gap_profile(kept, KEYS, T, spec.VAC)
-    bad = A.unreliable_series(profile, KEYS, null_share, null_run)
-    return J.drop_series(kept, bad, KEYS)
+    # same rule as series_gap_profile → unreliable_series → drop_series,
+    # evaluated as windows so the panel is read once
+    return A.drop_unreliable(kept, KEYS, T, spec.VAC, null_share, null_run)
 
 
 def add_target_features(df: DataFrame, target: str) -> DataFrame:
