@@ -77,11 +77,17 @@ def quarterly_mart_holed(spark, d):
         F.col("date_parsed") != F.lit(spec.FIXTURE_DROP_QUARTER).cast("date"))
 
 
+def quarterly_mart_holed_table(spark, d):
+    """The holed mart written once to the shared checkpoint folder: panel
+    completion reads its input twice (calendar/labels, then rows)."""
+    return FE.materialized(quarterly_mart_holed(spark, d))
+
+
 def gap_cleaned(spark, d):
-    return FE.gap_cleaned(FE.materialized(quarterly_mart_holed(spark, d)), spec.FIXTURE_PANEL_START,
+    return FE.gap_cleaned(quarterly_mart_holed_table(spark, d), spec.FIXTURE_PANEL_START,
                           spec.FIXTURE_EXCLUDE_GEOS)
 
 
 def ml_features(spark, d):
-    return FE.ml_features(FE.materialized(quarterly_mart_holed(spark, d)), spec.FIXTURE_PANEL_START,
+    return FE.ml_features(quarterly_mart_holed_table(spark, d), spec.FIXTURE_PANEL_START,
                           spec.FIXTURE_EXCLUDE_GEOS, spec.FIXTURE_FLAG_WINDOWS)

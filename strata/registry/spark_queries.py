@@ -228,12 +228,12 @@ def _(spark, d):
 
 @q("missing_periods")
 def _(spark, d):
-    return G.missing_periods(FX.quarterly_mart_holed(spark, d), T, spec.FIXTURE_PANEL_START, 3)
+    return G.missing_periods(FX.quarterly_mart_holed_table(spark, d), T, spec.FIXTURE_PANEL_START, 3)
 
 
 @q("complete_panel")
 def _(spark, d):
-    return G.complete_panel(FX.quarterly_mart_holed(spark, d), QK, T, spec.FIXTURE_PANEL_START, 3)
+    return G.complete_panel(FX.quarterly_mart_holed_table(spark, d), QK, T, spec.FIXTURE_PANEL_START, 3)
 
 
 # ------------------------------------------------------------ 2.4 aggregates
@@ -320,7 +320,7 @@ def _(spark, d):
 
 
 def _excluded(spark, d):
-    full = G.complete_panel(FX.quarterly_mart_holed(spark, d), QK, T, spec.FIXTURE_PANEL_START, 3)
+    full = G.complete_panel(FX.quarterly_mart_holed_table(spark, d), QK, T, spec.FIXTURE_PANEL_START, 3)
     return C.exclude_members(full, "geo", spec.FIXTURE_EXCLUDE_GEOS)
 
 
@@ -455,7 +455,7 @@ def _(spark, d):
 
 @q("period_difference")
 def _(spark, d):
-    m = FX.quarterly_mart_holed(spark, d)
+    m = FX.quarterly_mart_holed_table(spark, d)
     expected = m.agg(F.max(T).alias("__last")).select(F.explode(F.sequence(
         F.lit(spec.FIXTURE_PANEL_START).cast("date"), F.col("__last"),
         F.make_ym_interval(F.lit(0), F.lit(3)))).alias(T))
