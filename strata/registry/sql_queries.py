@@ -98,12 +98,12 @@ SQL["complete_panel"] = with_("SELECT * FROM completed", "completed")
 # ------------------------------------------------------------ 2.4
 SQL["row_count"] = with_("SELECT count(*) AS row_count FROM quarterly_clean", "quarterly_clean")
 SQL["null_counts"] = with_("""
-SELECT count_if(Year IS NULL) AS Year, count_if(Date_parsed IS NULL) AS Date_parsed,
-       count_if(GEO IS NULL) AS GEO, count_if(NAICS IS NULL) AS NAICS,
-       count_if("Average offered hourly wage" IS NULL) AS "Average offered hourly wage",
-       count_if("Job vacancies" IS NULL) AS "Job vacancies",
-       count_if("Job vacancy rate" IS NULL) AS "Job vacancy rate",
-       count_if("Payroll employees" IS NULL) AS "Payroll employees"
+SELECT CAST(count_if(Year IS NULL) AS BIGINT) AS Year, CAST(count_if(Date_parsed IS NULL) AS BIGINT) AS Date_parsed,
+       CAST(count_if(GEO IS NULL) AS BIGINT) AS GEO, CAST(count_if(NAICS IS NULL) AS BIGINT) AS NAICS,
+       CAST(count_if("Average offered hourly wage" IS NULL) AS BIGINT) AS "Average offered hourly wage",
+       CAST(count_if("Job vacancies" IS NULL) AS BIGINT) AS "Job vacancies",
+       CAST(count_if("Job vacancy rate" IS NULL) AS BIGINT) AS "Job vacancy rate",
+       CAST(count_if("Payroll employees" IS NULL) AS BIGINT) AS "Payroll employees"
 FROM quarterly_curated""", "quarterly_curated")
 SQL["distinct_counts"] = with_(", ".join(
     [f"SELECT " + ", ".join(
@@ -120,14 +120,14 @@ SQL["concentration_pct"] = with_("SELECT * FROM me_conc", "me_conc")
 SQL["group_percentiles"] = with_("SELECT * FROM mq_pct", "mq_pct")
 SQL["missing_share"] = with_(f"""
 SELECT geo, n_missing, n_rows, n_missing / n_rows * 100 AS pct_missing, n_missing / n_rows * 100 > 10 AS over_threshold
-FROM (SELECT geo, count_if({VPK} IS NULL) AS n_missing, count(*) AS n_rows FROM mart_quarterly GROUP BY geo) g""",
+FROM (SELECT geo, CAST(count_if({VPK} IS NULL) AS BIGINT) AS n_missing, count(*) AS n_rows FROM mart_quarterly GROUP BY geo) g""",
                             "mart_quarterly")
 SQL["missing_by_year"] = with_(f"""
 , periods AS (SELECT count(DISTINCT date_parsed) AS n_periods FROM mart_quarterly),
-grp AS (SELECT geo FROM mart_quarterly GROUP BY geo HAVING count_if({VPK} IS NULL) / count(*) * 100 > 10),
-series AS (SELECT geo, naics, count_if({VPK} IS NULL) AS series_missing FROM mart_quarterly
+grp AS (SELECT geo FROM mart_quarterly GROUP BY geo HAVING CAST(count_if({VPK} IS NULL) AS BIGINT) / count(*) * 100 > 10),
+series AS (SELECT geo, naics, CAST(count_if({VPK} IS NULL) AS BIGINT) AS series_missing FROM mart_quarterly
            WHERE geo IN (SELECT geo FROM grp) GROUP BY geo, naics),
-yearly AS (SELECT geo, naics, year, count_if({VPK} IS NULL) AS year_missing FROM mart_quarterly
+yearly AS (SELECT geo, naics, year, CAST(count_if({VPK} IS NULL) AS BIGINT) AS year_missing FROM mart_quarterly
            WHERE geo IN (SELECT geo FROM grp) GROUP BY geo, naics, year)
 SELECT s.geo, s.naics, s.series_missing, p.n_periods, y.year, y.year_missing
 FROM series s CROSS JOIN periods p JOIN yearly y ON y.geo = s.geo AND y.naics = s.naics
@@ -198,8 +198,8 @@ FROM s LEFT JOIN sea ON s.geo = sea.geo AND s.naics = sea.naics AND s.phase = se
 # ------------------------------------------------------------ 2.6
 SQL["sort_limit"] = with_("SELECT * FROM quarterly_curated ORDER BY NAICS, Date_parsed, GEO LIMIT 20", "quarterly_curated")
 SQL["topk_per_group"] = with_(f"""
-, g AS (SELECT geo FROM mart_quarterly GROUP BY geo HAVING count_if({VPK} IS NULL) / count(*) * 100 > 10),
-per AS (SELECT geo, naics, count_if({VPK} IS NULL) AS n_missing FROM mart_quarterly
+, g AS (SELECT geo FROM mart_quarterly GROUP BY geo HAVING CAST(count_if({VPK} IS NULL) AS BIGINT) / count(*) * 100 > 10),
+per AS (SELECT geo, naics, CAST(count_if({VPK} IS NULL) AS BIGINT) AS n_missing FROM mart_quarterly
         WHERE geo IN (SELECT geo FROM g) GROUP BY geo, naics),
 periods AS (SELECT geo AS pg, count(DISTINCT date_parsed) AS n_periods FROM mart_quarterly GROUP BY geo)
 SELECT geo, naics, n_missing, n_periods, n_missing / n_periods * 100 AS pct_of_periods, rank
@@ -217,8 +217,8 @@ EXCEPT SELECT date_parsed FROM mq_holed""", "mq_holed")
 
 # ------------------------------------------------------------ 2.8
 SQL["check_not_null"] = with_("""
-SELECT count_if(date_parsed IS NULL) AS date_parsed, count_if(geo IS NULL) AS geo, count_if(naics IS NULL) AS naics,
-       count_if(year IS NULL) AS year, count_if(foreign_accessibility_tier IS NULL) AS foreign_accessibility_tier
+SELECT CAST(count_if(date_parsed IS NULL) AS BIGINT) AS date_parsed, CAST(count_if(geo IS NULL) AS BIGINT) AS geo, CAST(count_if(naics IS NULL) AS BIGINT) AS naics,
+       CAST(count_if(year IS NULL) AS BIGINT) AS year, CAST(count_if(foreign_accessibility_tier IS NULL) AS BIGINT) AS foreign_accessibility_tier
 FROM mart_quarterly""", "mart_quarterly")
 SQL["check_unique_key"] = with_("""
 SELECT Year, Date_parsed, GEO, NAICS, count(*) AS count FROM quarterly_curated
@@ -234,9 +234,9 @@ FROM (SELECT count(*) AS rows_before FROM quarterly_clean) b, (SELECT count(*) A
                                        "quarterly_clean", "quarterly_curated")
 _NN = ["date_parsed", "geo", "naics", "year", "foreign_accessibility_tier"]
 SQL["quality_report"] = with_("SELECT *, failures = 0 AS passed FROM (" + " UNION ALL ".join(
-    [f"SELECT 'not_null' AS \"check\", '{c}' AS \"column\", count_if({c} IS NULL) AS failures FROM mart_quarterly" for c in _NN]
-    + [f"SELECT 'accepted_values', 'foreign_accessibility_tier', count_if(foreign_accessibility_tier IS NOT NULL "
-       f"AND foreign_accessibility_tier NOT IN ({TIERS})) FROM mart_quarterly",
+    [f"SELECT 'not_null' AS \"check\", '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS failures FROM mart_quarterly" for c in _NN]
+    + [f"SELECT 'accepted_values', 'foreign_accessibility_tier', CAST(count_if(foreign_accessibility_tier IS NOT NULL "
+       f"AND foreign_accessibility_tier NOT IN ({TIERS})) AS BIGINT) FROM mart_quarterly",
        "SELECT 'unique_key', 'geo,naics,date_parsed', count(*) FROM (SELECT geo, naics, date_parsed FROM mart_quarterly "
        "GROUP BY geo, naics, date_parsed HAVING count(*) > 1) d"]) + ") r", "mart_quarterly")
 
