@@ -97,8 +97,8 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         stamp = os.path.getmtime(path)
     except OSError:
         return spark.read.parquet(path)
-    key = (id(spark), path, stamp)
+    key = (spark.sparkContext.applicationId, id(spark), path, stamp)
     df = _SOURCES.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:
         df = _SOURCES[key] = spark.read.parquet(path)
     return df
