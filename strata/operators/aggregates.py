@@ -158,17 +158,19 @@ def anomaly_rows(df: DataFrame, keys: Sequence[str], t: str, value: str,
     """Rows more than ``z`` sample standard deviations from the series mean.
 
     Only series with at least ``min_rows`` rows (NULL or not) and a positive
-    deviation are tested; mean and deviation skip NULLs.
+    deviation are tested; mean and deviation skip NULLs. The series
+    statistics are a two-phase aggregate joined back on the key (AQE
+    broadcasts them when small, or splits a hot key in a sort-merge join),
+    so no task has to buffer a whole series.
     """
-    w = Window.partitionBy(*[_q(k) for k in keys])
     v = _q(value)
-    s = df.select(*keys, t, value,
-                  F.count(F.lit(1)).over(w).alias("__n"),
-                  F.avg(v).over(w).alias("__mean"),
-                  F.stddev_samp(v).over(w).alias("__sd"))
-    return (s.filter((F.col("__n") >= min_rows) & (F.col("__sd") > 0)
-                     & (F.abs(v - F.col("__mean")) > F.lit(z) * F.col("__sd")))
-             .select(*keys, t, value))
+    stats = (df.groupBy(*[_q(k) for k in keys])
+               .agg(F.count(F.lit(1)).alias("__n"), F.avg(v).alias("__mean"),
+                    F.stddev_samp(v).alias("__sd"))
+               .filter((F.col("__n") >= min_rows) & (F.col("__sd") > 0)))
+    return (df.select(*keys, t, value).join(stats, list(keys))
+              .filter(F.abs(v - F.col("__mean")) > F.lit(z) * F.col("__sd"))
+              .select(*keys, t, value))
 
 
 def anomaly_years(anomalies: DataFrame, keys: Sequence[str], t: str, out: str = "year") -> DataFrame:

@@ -197,3 +197,14 @@ def test_label_encode_inline_and_large_vocabulary_agree(spark):
     b = {(r.lab, r.code) for r in label_encode(df, "lab", "code", max_inline_labels=5).collect()}
     assert a == b
     assert (None, None) in a and ("L000", 0) in a and ("L036", 36) in a
+
+
+def test_anomaly_rows_outlier_and_min_rows(spark):
+    from strata.operators.aggregates import anomaly_rows, anomaly_years
+    # with n points one outlier reaches at most z = (n-1)/sqrt(n): use n = 30
+    vals = [10.0 + 0.1 * ((i * 7) % 5 - 2) for i in range(29)] + [60.0, None]
+    df = _panel(spark, {("A", "x"): vals, ("B", "short"): [1.0, 100.0, 1.0]})
+    rows = anomaly_rows(df, ["geo", "naics"], "date_parsed", "v").collect()
+    assert [(r.geo, r.v) for r in rows] == [("A", 60.0)]      # short series is not tested
+    yrs = anomaly_years(anomaly_rows(df, ["geo", "naics"], "date_parsed", "v"), ["geo", "naics"], "date_parsed").collect()
+    assert [(r.geo, r.year) for r in yrs] == [("A", 2022)]
