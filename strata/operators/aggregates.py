@@ -59,10 +59,14 @@ def pivot_statistics(df: DataFrame, keys: Sequence[str], name: str, value: str,
                      values: Sequence[str]) -> DataFrame:
     """Long → wide: one column per statistic holding ``sum(value)``.
 
-    The value list is explicit: no extra job to discover it and a fixed
-    output schema. A cell whose inputs are all NULL stays NULL.
+    The value list is explicit (no job to discover it, fixed schema) and the
+    pivot is written as conditional sums in one grouped aggregate — a single
+    exchange, where ``groupBy().pivot()`` plans two aggregation levels. A cell
+    whose inputs are all NULL, or that has no input row, stays NULL.
     """
-    return df.groupBy(*[_q(k) for k in keys]).pivot(name, list(values)).agg(F.sum(_q(value)))
+    n, v = _q(name), _q(value)
+    return df.groupBy(*[_q(k) for k in keys]).agg(
+        *[F.sum(F.when(n == F.lit(s), v)).alias(s) for s in values])
 
 
 def period_averages(df: DataFrame, by: Sequence[str],

@@ -43,10 +43,11 @@ def complete_panel(df: DataFrame, keys: Sequence[str], t: str, start: str,
     # one scalar subquery: last period, observed periods, label sets
     summary = df.agg(F.struct(F.max(t).alias("last"), F.collect_set(t).alias("seen"),
                               *[F.collect_set(k).alias(f"labels_{i}") for i, k in enumerate(rest)])).scalar()
-    gap_arr = F.array_except(_calendar(start, summary["last"], step_months), summary["seen"])
-    grid = df.select(first).distinct()
+    # the subquery is referenced once (as a column), so it runs once
+    grid = df.select(first).distinct().withColumn("__s", summary)
+    gap_arr = F.array_except(_calendar(start, F.col("__s.last"), step_months), F.col("__s.seen"))
     for i, k in enumerate(rest):
-        grid = grid.select(*grid.columns, F.explode(summary[f"labels_{i}"]).alias(k))
+        grid = grid.select(*grid.columns, F.explode(F.col(f"__s.labels_{i}")).alias(k))
     grid = grid.select(*keys, F.explode(gap_arr).alias(t))
     if year_col:
         grid = grid.withColumn(year_col, F.year(t))

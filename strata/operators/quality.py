@@ -1,8 +1,8 @@
 """Data-quality gates.
 
 Each check returns a small violations/report DataFrame; ``enforce`` turns a
-report into an exception. ``quality_report`` evaluates every row-level rule
-of a table in **one** aggregate pass plus one grouped pass per unique key,
+report into an exception. ``quality_report`` evaluates every rule of a
+table in **one** pass (row rules ride along in the unique-key grouping),
 instead of one job per declaration.
 """
 
@@ -124,23 +124,40 @@ def check_row_reconciliation(before: DataFrame, after: DataFrame, factor: float
 def quality_report(df: DataFrame, rules: Sequence) -> DataFrame:
     """All rules of one table → rows ``(check, column, failures, passed)``.
 
-    Row-level rules (not-null, range, values) are folded into a single
-    aggregate of ``count_if(violation)``; each unique-key rule adds one
-    grouped count of duplicate groups.
+    One pass over the input: row-level rules (not-null, range, values) are
+    ``count_if(violation)`` aggregates; when the table declares a unique key
+    they ride along in the grouping by that key (per-group partial counts,
+    then a global sum plus ``count_if(rows > 1)`` for duplicates), so the
+    key check and the row checks share one scan and one exchange. Further
+    unique keys add one grouped pass each.
     """
     row_rules = [r for r in rules if not isinstance(r, UniqueKey)]
     key_rules = [r for r in rules if isinstance(r, UniqueKey)]
-    parts = []
-    if row_rules:
+
+    def entries(names_cols):
+        return [F.struct(F.lit(n).alias("check"), F.lit(c).alias("column"),
+                         F.col(a).cast("long").alias("failures")) for n, c, a in names_cols]
+
+    items = []
+    if key_rules:
+        first = key_rules[0]
+        per_key = df.groupBy(*[_q(k) for k in first.columns]).agg(
+            F.count(F.lit(1)).alias("__rows"),
+            *[F.count_if(r.violation()).alias(f"__r{i}") for i, r in enumerate(row_rules)])
+        agg = per_key.agg(F.count_if(F.col("__rows") > 1).alias("__dup"),
+                          *[F.sum(f"__r{i}").alias(f"r{i}") for i in range(len(row_rules))])
+        items = [(r.name, r.column, f"r{i}") for i, r in enumerate(row_rules)] + \
+                [(first.name, ",".join(first.columns), "__dup")]
+        parts = [agg.select(F.explode(F.array(*entries(items))).alias("e")).select("e.*")]
+        rest = key_rules[1:]
+    else:
         agg = df.agg(*[F.count_if(r.violation()).alias(f"r{i}") for i, r in enumerate(row_rules)])
-        entries = [F.struct(F.lit(r.name).alias("check"), F.lit(r.column).alias("column"),
-                            F.col(f"r{i}").cast("long").alias("failures"))
-                   for i, r in enumerate(row_rules)]
-        parts.append(agg.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
-    for r in key_rules:
+        items = [(r.name, r.column, f"r{i}") for i, r in enumerate(row_rules)]
+        parts = [agg.select(F.explode(F.array(*entries(items))).alias("e")).select("e.*")] if items else []
+        rest = []
+    for r in rest:
         dup = duplicate_groups(df, list(r.columns)).agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(dup.select(F.lit(r.name).alias("check"),
-                                F.lit(",".join(r.columns)).alias("column"),
+        parts.append(dup.select(F.lit(r.name).alias("check"), F.lit(",".join(r.columns)).alias("column"),
                                 F.col("failures").cast("long")))
     out = parts[0]
     for p in parts[1:]:

@@ -63,6 +63,10 @@ def ml_features(mart: DataFrame, start: str, exclude_geos: Sequence[str],
     df = gap_cleaned(mart, start, exclude_geos)
     for target in (spec.VAC, spec.WAGE):
         df = W.interpolate_limited(df, KEYS, T, target, limit)
+    # the label vocabularies are fitted on this table: materialise it once so
+    # they (and the size checks) read it instead of re-running the stage
+    from strata.session import cut_lineage
+    df = cut_lineage(df, "interpolated")
     for target in (spec.VAC, spec.WAGE):
         df = add_target_features(df, target)
     return add_shared_features(df, flag_windows)
