@@ -488,26 +488,10 @@ def _(spark, d):
     return Q.check_row_reconciliation(FX.quarterly_clean(spark, d), FX.quarterly_curated(spark, d), 4)
 
 
-def mart_rules(kind: str) -> list:
-    """The declared tests of the three marts (not_null, accepted_range/values)."""
-    if kind == "monthly":
-        return [Q.NotNull(T), Q.NotNull("geo"), Q.NotNull("year"),
-                Q.AcceptedRange(VPK, 0), Q.AcceptedRange("total_job_vacancies", 0),
-                Q.UniqueKey(("geo", T))]
-    if kind == "quarterly":
-        return [Q.NotNull(T), Q.NotNull("geo"), Q.NotNull("naics"), Q.NotNull("year"),
-                Q.NotNull("foreign_accessibility_tier"),
-                Q.AcceptedValues("foreign_accessibility_tier", tuple(spec.TIER_LABELS)),
-                Q.UniqueKey(("geo", "naics", T))]
-    return [Q.NotNull(T), Q.NotNull("geo"), Q.NotNull("naics"), Q.NotNull("year"),
-            Q.AcceptedRange("total_employment", 0),
-            Q.AcceptedRange("data_digital_employment_concentration_pct", 0),
-            Q.UniqueKey(("geo", "naics", T))]
-
-
 @q("quality_report")
 def _(spark, d):
-    return Q.quality_report(FX.quarterly_mart(spark, d), mart_rules("quarterly"))
+    from strata.plans.rules import with_unique_key
+    return Q.quality_report(FX.quarterly_mart(spark, d), with_unique_key("mart_quarterly"))
 
 
 # -------------------------------------------------- 2.9 composed pipelines

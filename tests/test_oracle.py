@@ -65,3 +65,15 @@ def test_query_matches_oracle(spark, con, key):
     assert r["rows_spark"] == r["rows_duck"], r
     assert r["cols_match"], r
     assert r.get("exact") or r.get("close"), r
+
+
+def test_declared_rules_pass_on_fixture_models(spark):
+    from strata.operators.quality import enforce, quality_report
+    from strata.plans import fixture as FX
+    from strata.plans.rules import declared, with_unique_key
+    models = {"stage_monthly": FX.monthly_stage, "stage_quarterly": FX.quarterly_stage,
+              "stage_employment": FX.employment_stage, "mart_monthly": FX.monthly_mart,
+              "mart_quarterly": FX.quarterly_mart, "mart_employment": FX.employment_mart}
+    assert sum(len(declared(m)) for m in models) == 36
+    for name, build in models.items():
+        enforce(quality_report(build(spark, SF), with_unique_key(name)), name)
