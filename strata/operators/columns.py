@@ -31,8 +31,15 @@ def trim_strings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def cast_measure(df: DataFrame, col: str, to: str = "double") -> DataFrame:
-    """Text → number; unparsable or empty text becomes NULL (``try_cast``)."""
-    return df.withColumn(col, F.col(f"`{col}`").try_cast(to))
+    """Text → number; unparsable or empty text becomes NULL (``try_cast``).
+
+    A ``NaN`` text becomes NULL too (once, at ingest): Spark sorts NaN as the
+    largest value and ``avg``/``sum`` propagate it, while NULLs are skipped.
+    """
+    c = F.col(f"`{col}`").try_cast(to)
+    if to in ("double", "float"):
+        c = X.nan_to_null(c)
+    return df.withColumn(col, c)
 
 
 def parse_period(df: DataFrame, src: str, dst: str, fmt: str = "yyyy-MM") -> DataFrame:

@@ -106,3 +106,10 @@ def test_schema_summary_and_nonempty(spark):
     s = Q.schema_summary(df).collect()
     assert [(r.column, r.type) for r in s] == [("x", "int"), ("y", "string")]
     assert Q.check_nonempty(df) and not Q.check_nonempty(df.limit(0))
+
+
+def test_cast_measure_text_edge_cases(spark):
+    from strata.operators.columns import cast_measure
+    df = spark.createDataFrame([("1.5",), ("",), ("x",), ("NaN",), ("nan",), (None,), (" 2 ",)], "VALUE string")
+    got = [r.VALUE for r in cast_measure(df, "VALUE").collect()]
+    assert got[0] == 1.5 and got[1:6] == [None] * 5
