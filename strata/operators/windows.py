@@ -10,7 +10,6 @@ so Catalyst plans a single sort for all of them.
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -251,5 +250,3 @@ def seasonal_decompose(df: DataFrame, keys: Sequence[str], t: str, value: str,
         cols = {k: F.round(c, digits) for k, c in cols.items()}
     return out.select(*keys, t, value, *[c.alias(k) for k, c in cols.items()])
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("math", "annotations")]

@@ -16,7 +16,6 @@ from strata import spec
 from strata.operators import aggregates as A
 from strata.operators import columns as C
 from strata.operators import gaps as G
-from strata.operators import joins as J
 from strata.operators import windows as W
 
 KEYS = ["geo", "naics"]

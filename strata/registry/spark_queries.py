@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import spec
-from strata.functions import expressions as X
 from strata.operators import aggregates as A
 from strata.operators import columns as C
 from strata.operators import gaps as G
@@ -23,7 +22,6 @@ from strata.operators import quality as Q
 from strata.operators import windows as W
 from strata.plans import curate as CU
 from strata.plans import fixture as FX
-from strata.plans import marts as M
 from strata.sources import panels as P
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.registry.ctes import AS_OF, EXCLUDE, NAICS_COL, RECENT_FROM, START, _interp, _neighbour_cols, cte, with_
+from strata.registry.ctes import EXCLUDE, NAICS_COL, RECENT_FROM, START, _interp, _neighbour_cols, cte, with_
 
 TIERS = ("'Insufficient Data', 'High Demand and Sustained, No Wage Data', "
          "'Above Average Demand, No Wage Data', 'Wage Eligible, No Vacancy Data', "

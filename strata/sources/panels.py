@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import spec
-from strata.operators.joins import bounded_broadcast
 from strata.sources.io import read_driver_table
 
 NATION_MAX_ROWS = 10_000
