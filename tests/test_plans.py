@@ -31,6 +31,8 @@ def test_each_mart_scans_its_fact_table_once(spark):
                       ("mart_monthly", "orders"), ("quality_report", "lineitem")]:
         plan = _plan(spark, key)
         assert len(re.findall(rf"FileScan parquet [^\n]*{fact}\.parquet", plan)) == 1, key
+        schemas = re.findall(rf"{fact}\.parquet\][^\n]*ReadSchema: (struct<[^\n]*)", plan)
+        assert len(schemas) == 1 and "struct<" in schemas[0]
 
 
 def test_mart_quarterly_shares_one_window_exchange(spark):
