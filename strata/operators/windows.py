@@ -41,14 +41,31 @@ def lag_columns(df: DataFrame, keys: Sequence[str], t: str,
     return df.withColumns({out: F.lag(_q(v), n).over(w) for v, n, out in specs})
 
 
-def rank_masked(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
+def rank_masked(df: DataFrame, by: Sequence[str], value: str, out: str,
+                method: str = "window") -> DataFrame:
     """``rank()`` by ``value`` descending within ``by``; NULL for NULL values.
 
     NULL rows still occupy the last positions of the ordering (so they do
     not shift the ranks of non-NULL rows) and get a NULL rank.
+
+    ``method="window"`` sorts each group in one task — right when groups are
+    bounded (sectors of one geo and date). ``method="histogram"`` is exact
+    for groups of any size: rank = 1 + rows of the group with a larger
+    value, computed over the partial-aggregated (group, value) counts and
+    joined back, so a hot group costs its number of *distinct* values, and
+    its rows are spread by the join.
     """
-    w = Window.partitionBy(*[_q(b) for b in by]).orderBy(_q(value).desc_nulls_last())
-    return df.withColumn(out, F.when(_q(value).isNotNull(), F.rank().over(w)))
+    v = _q(value)
+    if method == "window":
+        w = Window.partitionBy(*[_q(b) for b in by]).orderBy(v.desc_nulls_last())
+        return df.withColumn(out, F.when(v.isNotNull(), F.rank().over(w)))
+    if method != "histogram":
+        raise ValueError(f"unknown rank method {method!r}")
+    hist = df.filter(v.isNotNull()).groupBy(*[_q(b) for b in by], v).agg(F.count(F.lit(1)).alias("__c"))
+    above = (Window.partitionBy(*[_q(b) for b in by]).orderBy(v.desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    hist = hist.withColumn(out, (F.coalesce(F.sum("__c").over(above), F.lit(0)) + 1).cast("int")).drop("__c")
+    return df.join(hist, [*by, value], "left")
 
 
 def sustained_demand_pct(df: DataFrame, keys: Sequence[str], t: str, value: str,

@@ -208,3 +208,13 @@ def test_anomaly_rows_outlier_and_min_rows(spark):
     assert [(r.geo, r.v) for r in rows] == [("A", 60.0)]      # short series is not tested
     yrs = anomaly_years(anomaly_rows(df, ["geo", "naics"], "date_parsed", "v"), ["geo", "naics"], "date_parsed").collect()
     assert [(r.geo, r.year) for r in yrs] == [("A", 2022)]
+
+
+def test_rank_histogram_equals_window(spark):
+    rnd = random.Random(11)
+    rows = [("hot" if i % 4 else f"g{i % 3}", f"m{i}", None if i % 17 == 0 else float(rnd.randint(0, 20)))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, m string, v double")
+    a = {(r.m, r.rk) for r in W.rank_masked(df, ["g"], "v", "rk").collect()}
+    b = {(r.m, r.rk) for r in W.rank_masked(df, ["g"], "v", "rk", method="histogram").collect()}
+    assert a == b and len(a) == 400
