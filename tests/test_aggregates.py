@@ -52,3 +52,17 @@ def test_period_difference_and_append(spark):
     assert [r.d for r in G.period_difference(a, b).collect()] == [dt.date(2020, 4, 1)]   # EXCEPT DISTINCT
     u = G.append_rows(b, spark.createDataFrame([(dt.date(2021, 1, 1), 2.0)], "d date, x double"))
     assert sorted(u.columns) == ["d", "x"] and u.filter("x IS NULL").count() == 1
+
+
+def test_group_percentiles_exact_and_approx(spark):
+    import random
+    rnd = random.Random(2)
+    rows = [(f"g{i % 3}", float(rnd.randint(0, 1000))) for i in range(3000)] + [("g0", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ex = {r.g: r for r in A.group_percentiles(df, ["g"], "v", {"p50": 0.5, "p75": 0.75}).collect()}
+    ap = {r.g: r for r in A.group_percentiles(df, ["g"], "v", {"p50": 0.5, "p75": 0.75}, approx=True).collect()}
+    import numpy as np
+    for g in ex:
+        vals = np.array([v for k, v in rows if k == g and v is not None])
+        assert ex[g].p50 == np.percentile(vals, 50) and ex[g].p75 == np.percentile(vals, 75)
+        assert abs(ap[g].p50 - ex[g].p50) <= 10 and abs(ap[g].p75 - ex[g].p75) <= 10   # ~1% of range

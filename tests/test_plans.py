@@ -39,3 +39,8 @@ def test_mart_quarterly_shares_one_window_exchange(spark):
     plan = _plan(spark, "mart_quarterly")
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert len(exchanges) == 2, exchanges       # fact aggregate + one geo partitioning for all windows
+
+
+def test_feature_stage_has_no_joins(spark):
+    plan = _plan(spark, "ml_features")
+    assert not re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|NestedLoopJoin)", plan)
