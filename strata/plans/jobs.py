@@ -24,7 +24,7 @@ from strata.plans import curate as CU
 from strata.plans import features as FE
 from strata.plans import marts as M
 from strata.plans import stage as ST
-from strata.plans.rules import with_unique_key
+from strata.plans.rules import UNIQUE, with_unique_key
 from strata.sources import io
 
 FEEDS = ("monthly", "quarterly", "employment")
@@ -74,10 +74,8 @@ def register_job(spark: SparkSession, curated: Mapping[str, str], schema: str) -
     tables = {}
     for feed in FEEDS:
         df = CU.to_catalog(io.read_partitioned_parquet(spark, curated[feed]))
-        model = {"monthly": "stage_monthly", "quarterly": "stage_quarterly",
-                 "employment": "stage_employment"}[feed]
-        Q.enforce(Q.quality_report(df, [Q.NotNull(c) for c in with_unique_key(model)[-1].columns]
-                                   + [with_unique_key(model)[-1]]), feed)
+        key = UNIQUE[f"stage_{feed}"]          # critical columns: not null, unique together
+        Q.enforce(Q.quality_report(df, [Q.NotNull(c) for c in key] + [Q.UniqueKey(key)]), feed)
         name = f"{schema}.{feed}_curated"
         io.save_table(df, name)
         tables[feed] = name
