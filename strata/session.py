@@ -41,18 +41,25 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    A cluster must name a shared folder (HDFS/object store) there; only when it
-    is unset — local runs, tests — a fresh scratch folder is created and set.
+    Only a local master, where driver and executors share one disk, may do
+    without either: a scratch folder is then made once per application. On any
+    other master a missing setting is an error, because executors would write
+    to disks that nobody else can read.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(named)
+        return named
+    have = spark.sparkContext.getCheckpointDir()
+    if have is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+        have = spark.sparkContext.getCheckpointDir()
+    return have
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
