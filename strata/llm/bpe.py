@@ -105,6 +105,14 @@ def codec(path: str, pattern: str) -> ByteBPE:
     return _CODECS[key]
 
 
+def _encoded(batch: pa.RecordBatch, bpe: ByteBPE, text: str, ids: str) -> pa.RecordBatch:
+    return with_columns(batch, **{ids: bpe.encode(batch.column(text)).cast(pa.binary())})
+
+
+def _decoded(batch: pa.RecordBatch, bpe: ByteBPE, ids: str, decoded: str) -> pa.RecordBatch:
+    return with_columns(batch, **{decoded: bpe.decode(batch.column(ids)).cast(pa.binary())})
+
+
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCABULARY,
            pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """Add ``ids``: the text's token ids as little-endian unsigned 32-bit integers in one binary value."""
@@ -112,7 +120,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCA
         bpe = codec(path, pattern)
         for batch in batches:
             for part in slices(batch, text):
-                yield with_columns(part, **{ids: bpe.encode(part.column(text)).cast(pa.binary())})
+                yield _encoded(part, bpe, text, ids)
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType())]))
 
@@ -124,29 +132,35 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str
         bpe = codec(path, pattern)
         for batch in batches:
             for part in slices(batch, ids, 32 << 20):
-                yield with_columns(part, **{decoded: bpe.decode(part.column(ids)).cast(pa.binary())})
+                yield _decoded(part, bpe, ids, decoded)
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
 
 
-def digests(df: DataFrame, ids: str = "ids", vocabulary: int = 1 << 16) -> DataFrame:
-    """Replace ``ids`` by n_tokens and ids_sha256 (decimal ids joined by one space)."""
+def _sha256(values: pa.Array, without_last: int = 0) -> list[str]:
+    """Digests of binary values, each without its last bytes if it has any."""
+    data = values.buffers()[2]
+    raw = memoryview(data) if data is not None else memoryview(b"")
+    at = np.frombuffer(values.buffers()[1], np.int64)[:len(values) + 1].tolist()
+    return [hashlib.sha256(raw[a:max(a, b - without_last)]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by one space), decoded_sha256 of every whole text.
+
+    Each slice of documents is encoded, decoded from its ids and digested in one pass.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal = pa.array([b"%d " % i for i in range(vocabulary)], type=pa.large_binary())
+        bpe = codec(path, pattern)
+        decimal = pa.array([b"%d " % i for i in range(len(bpe.tokens))], type=pa.large_binary())
         for batch in batches:
-            for part in slices(batch, ids, 32 << 20):
-                flat, ends = id_values(part.column(ids))
+            for part in slices(batch, "text"):
+                ids = bpe.encode(part.column("text"))
+                flat, ends = id_values(ids)
                 lines = joined(decimal.take(pa.array(flat.astype(np.int64))), ends)
-                sha = [hashlib.sha256(memoryview(v.as_buffer())[:-1]).hexdigest() if v.as_buffer().size else hashlib.sha256().hexdigest()
-                       for v in lines]
-                yield with_columns(part.drop_columns([ids]), n_tokens=pa.array(np.diff(ends, prepend=0)), ids_sha256=pa.array(sha))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(_sha256(lines, 1)), pa.array(_sha256(bpe.decode(ids)))],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kept = [f for f in df.schema.fields if f.name != ids]
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType())]))
-
-
-def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text: encoded, then decoded from the ids."""
-    coded = decode(encode(docs.select("doc_id", "text"), path=path, pattern=pattern).drop("text"), path=path, pattern=pattern)
-    slim = coded.select("doc_id", "ids", F.sha2(F.coalesce("decoded", F.lit(b"")), 256).alias("decoded_sha256"))
-    return digests(slim).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

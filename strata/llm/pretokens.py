@@ -18,6 +18,10 @@ _ASCII_TOUCH = tuple(a + b for a, b in [("", "  ")] + [(w, " ") for w in "\t\n\v
 _WIDE_SPACE = re.compile("[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 
 
+#: A mark after a word is a pre-token of its own.
+_MARKS = (".", ",", ";", ":", "?", "!")
+
+
 def spaced(text: str) -> bool:
     """True if every space of ``text`` stands between non-space characters or at its ends.
 
@@ -31,10 +35,10 @@ def spaced(text: str) -> bool:
 class Memo:
     """key -> ids as little-endian unsigned 32-bit bytes, kept from batch to batch.
 
-    At ``limit`` entries it starts anew and long keys are not kept: what is forgotten is encoded again.
+    The first ``limit`` short keys are kept, the frequent ones among them; others are encoded again when they return.
     """
 
-    def __init__(self, limit: int = 300_000, longest: int = 40):
+    def __init__(self, limit: int = 250_000, longest: int = 32):
         self.limit, self.longest = limit, longest
         self.known: dict[str, bytes] = {}
 
@@ -43,12 +47,12 @@ class Memo:
         missing = [i for i, v in enumerate(out) if v is None]
         if missing:
             fresh = [keys[i] for i in missing]
-            if len(self.known) + len(fresh) > self.limit:
-                self.known = {}
+            room = self.limit - len(self.known)
             for i, key, value in zip(missing, fresh, encode_many(fresh), strict=True):
                 out[i] = value
-                if len(key) <= self.longest:
+                if room > 0 and len(key) <= self.longest:
                     self.known[key] = value
+                    room -= 1
         return out
 
 
@@ -57,24 +61,32 @@ class PieceEncoder:
 
     def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[bytes]]):
         self.split, self.encode_many = split, encode_many
-        self.memo = Memo()
-
-    def _encode_strings(self, strings: list[str]) -> list[bytes]:
-        cut = [self.split(s) for s in strings]
+        self.pieces, self.tokens = Memo(), Memo()
+
+    def _cut(self, piece: str) -> list[str]:
+        """Pre-tokens of a space and what follows it; words, and words with one mark after them, need no pattern."""
+        body = piece[1:]
+        if body.isalpha():
+            return [piece]
+        if body[-1:] in _MARKS and body[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return self.split(piece)
+
+    def _encode_cut(self, cut: list[list[str]]) -> list[bytes]:
         distinct = list({t for c in cut for t in c})
-        ids = dict(zip(distinct, self.encode_many(distinct) if distinct else (), strict=True))
-        return [b"".join([ids[t] for t in c]) for c in cut]
+        ids = dict(zip(distinct, self.tokens.values(distinct, self.encode_many), strict=True))
+        return [ids[c[0]] if len(c) == 1 else b"".join([ids[t] for t in c]) for c in cut]
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of each text (none for null or empty) as little-endian unsigned 32-bit integers, one binary value per text."""
         strings = texts.to_pylist()
         split = np.array([bool(t) and spaced(t) for t in strings], bool)
-        whole = self._encode_strings([(t or "") if not s else t.split(" ", 1)[0] for t, s in zip(strings, split, strict=True)])
+        whole = self._encode_cut([self.split((t or "") if not s else t.split(" ", 1)[0]) for t, s in zip(strings, split, strict=True)])
         later = [t.split(" ", 1)[1] if s and " " in t else None for t, s in zip(strings, split, strict=True)]
         lists = pc.split_pattern(pa.array(later, pa.string()), " ")
         coded = lists.flatten().dictionary_encode()
         pieces = [" " + p for p in coded.dictionary.to_pylist()]
-        values = pa.array(self.memo.values(pieces, self._encode_strings) + whole, pa.binary())
+        values = pa.array(self.pieces.values(pieces, lambda ps: self._encode_cut(list(map(self._cut, ps)))) + whole, pa.binary())
         counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(counts)
         # each text's own head or whole encoding stands before its later pieces

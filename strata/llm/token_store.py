@@ -25,6 +25,7 @@ import json
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_characters
 from .common import stage, stage_path
 from .pretokens import PieceEncoder, id_values, slices
 
@@ -49,14 +51,24 @@ class Tokens:
     def __init__(self, path: str, pattern: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # the library's own byte-level characters, one per byte
+        shown = "".join(p for p, _ in pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str("".join(map(chr, range(256)))))
+        self.chars = dict(enumerate(byte_characters()))
+        if not set(shown) <= set(self.chars.values()):
+            raise ValueError("byte-level characters differ from the library's")
         self.pieces = PieceEncoder(regex.compile(pattern).findall, self._many)
 
     def _many(self, tokens: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)]
+        """Ids of pre-tokens: the library's byte-level form, then its merges."""
+        model, level = self.tokenizer.model, self.level
+        return [array("I", [t.id for t in model.tokenize(level(token))]).tobytes() for token in tokens]
+
+    def level(self, token: str) -> str:
+        return token.encode().decode("latin-1").translate(self.chars)
 
     def encode(self, texts: pa.Array) -> pa.Array:
         return self.pieces.encode(texts)
