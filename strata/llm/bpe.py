@@ -145,8 +145,9 @@ def _sha256(values: pa.Array, without_last: int = 0) -> list[str]:
     return [hashlib.sha256(raw[a:max(a, b - without_last)]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by one space), decoded_sha256 of every whole text.
+def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN, ids: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by one space), decoded_sha256 of every whole text; ``ids``
+    names a further column for the ids themselves.
 
     Each slice of documents is encoded, decoded from its ids and digested in one pass.
     """
@@ -155,12 +156,12 @@ def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_to
         decimal = pa.array([b"%d " % i for i in range(len(bpe.tokens))], type=pa.large_binary())
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = bpe.encode(part.column("text"))
-                flat, ends = id_values(ids)
+                coded = bpe.encode(part.column("text"))
+                flat, ends = id_values(coded)
                 lines = joined(decimal.take(pa.array(flat.astype(np.int64))), ends)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(_sha256(lines, 1)), pa.array(_sha256(bpe.decode(ids)))],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    [part.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(_sha256(lines, 1)), pa.array(_sha256(bpe.decode(coded))), *([coded.cast(pa.binary())] if ids else [])],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *([ids] if ids else [])])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (f", {ids} binary" if ids else ""))

@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.session import checkpoint_dir
 
@@ -24,7 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/strata-llm/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{checkpoint_dir(spark).rstrip('/')}/strata-llm/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+#: Folders that this driver has made under the shared folder and not deleted yet.
+_MADE: list[str] = []
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -34,20 +38,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def unstage(*frames: DataFrame) -> None:
-    """Delete the folders of staged tables that nothing reads any more."""
-    for df in frames:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+def made_folders() -> list[str]:
+    """All staged folders of this driver that are not deleted yet, in order."""
+    return list(_MADE)
 
 
-def fine_scan(df: DataFrame, column: str = "text") -> DataFrame:
-    """Rows of a staged or input table with ``column`` never null (null counts as empty)."""
-    return df.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit("")))
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete staged folders; only once nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+        if folder in _MADE:
+            _MADE.remove(folder)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,7 +62,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_SYMBOLS = mix(np.arange(1, 257, dtype=U64) * U64(BASE))
+SYMBOLS = mix(np.arange(1, 257, dtype=U64) * U64(BASE))
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -138,5 +141,5 @@ def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool
         joined = np.unique(joined)
         marks = np.sort(np.concatenate([marks, joined, joined]))
     starts, ends = marks[::2], marks[1::2]
-    symbols = _SYMBOLS[LOWER[raw]] if lower else _SYMBOLS[raw]
+    symbols = SYMBOLS[LOWER[raw]] if lower else SYMBOLS[raw]
     return span_hash(prefix(symbols), starts, ends), starts, ends, np.searchsorted(starts, offsets, side="left")

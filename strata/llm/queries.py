@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fuzzy, language_id, token_store, url_filter, warc
+from . import bpe, decontaminate, fuzzy, language_id, minhash_forest, substring_dedup, suffix_dedup, token_store, url_filter, warc
 from .common import table
 
 
@@ -15,6 +15,18 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op2_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.components(table(spark, sf_dir, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -41,8 +53,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op5_byte_bpe, op6_piecewise_hash, op7_warc_archives, op8_decontaminate,
-                            op9_language_id, op10_token_files)
+    f.__name__: f for f in (op1_url_filter, op2_minhash_forest, op3_suffix_dedup, op4_substring_dedup, op5_byte_bpe, op6_piecewise_hash,
+                            op7_warc_archives, op8_decontaminate, op9_language_id, op10_token_files)
 }
 
 #: DuckDB SQL of those that SQL can express over whole tables.
