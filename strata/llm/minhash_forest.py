@@ -11,9 +11,10 @@ copies never becomes all its pairs:
 
 1. each node's neighbour with the longest common prefix;
 2. the other neighbours that are still in different components;
-3. in regions that still hold several components, every pair across components whose
-   signatures agree often enough. A region of more than ``region`` nodes is searched at a
-   greater depth, as deep as it must be for its parts to be small.
+3. in regions that still hold several components, all members whose signatures agree
+   often enough with one of another component, against each other, inside the region's
+   task. A region of more than ``region`` nodes is searched at a greater depth, as deep as it
+   must be for its parts to be small.
 
 Components are found by contracting edges towards the smaller node id; ids are
 hashes, so the graph shrinks by a constant factor a round whatever its shape.
@@ -272,8 +273,12 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return marked.select("a", "b", "p", "q").mapInArrow(run, "a binary, b binary")
 
 
-def region_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, region: int) -> DataFrame:
-    """Pairs across components in regions that still hold several, of signatures that agree."""
+def mixed_regions(members: DataFrame, labels: DataFrame, region: int) -> DataFrame:
+    """Members (region, part, deeper, share, node, label) of regions that still hold several components.
+
+    A region of more than ``region`` nodes is cut by its next component, and again, until its parts are
+    small; what agrees in all components of the row is dealt into shares.
+    """
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     pending = stage(named.select("region", "rest", "node", "label"), "members")
     parts = []
@@ -282,9 +287,9 @@ def region_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, region
         sizes = keyed.groupBy("region", "part").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").drop("lo", "hi")
         mixed = keyed.join(sizes, ["region", "part"])
         last = deeper == FURTHER
+        share = F.when(F.col("n") > region, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / region))).otherwise(F.lit(0))
         parts.append((mixed if last else mixed.where(F.col("n") <= region))
-                     .select("region", "part", F.lit(deeper).alias("deeper"), F.when(F.col("n") > region, F.xxhash64("node") % (F.col("n") / region).cast("long"))
-                             .otherwise(0).alias("share"), "node", "label"))
+                     .select("region", "part", F.lit(deeper).alias("deeper"), share.cast("long").alias("share"), "node", "label"))
         if last:
             break
         pending = stage(mixed.where(F.col("n") > region).select("region", "rest", "node", "label"), "members")
@@ -293,23 +298,64 @@ def region_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, region
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
+    return rows
+
+
+_REGION = ["region", "part", "deeper", "share"]
+
 
-    def run(table: pa.Table) -> pa.Table:
+def region_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
+    """Confirmed links (a, b) that join the components within each mixed region.
+
+    Signatures tell which members have a partner in another component worth a look; the full sets of
+    those meet in the region's task, where all intersections across components are one matrix product. Only a
+    spanning set of the links leaves the task.
+    """
+    def labels_of(table: pa.Table) -> np.ndarray:
+        return table.column("label").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+    def promising(table: pa.Table) -> pa.Table:
         marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SIZE)
-        _, label = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)
-        left, right = [], []
+        label, keep = labels_of(table), np.zeros(len(marks), bool)
         for i in range(len(marks) - 1):
             hit = np.flatnonzero(label[i + 1:] != label[i]) + i + 1
             hit = hit[(marks[hit] == marks[i]).sum(axis=1) >= AGREE]
-            left.append(np.full(len(hit), i))
-            right.append(hit)
-        none = np.zeros(0, np.int64)
-        nodes_in = table.column("node").combine_chunks()
-        return pa.table({"a": nodes_in.take(pa.array(np.concatenate([none, *left]))), "b": nodes_in.take(pa.array(np.concatenate([none, *right])))})
-
-    marked = rows.join(nodes.select("node", "signature"), "node")
-    found = marked.groupBy("region", "part", "deeper", "share").applyInArrow(run, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            keep[hit] = True
+            keep[i] |= len(hit) > 0
+        return table.drop_columns(["signature"]).filter(pa.array(keep))
+
+    def links(table: pa.Table) -> pa.Table:
+        label, found = labels_of(table), [np.frombuffer(v.as_buffer(), U64) for v in table.column("shingles").combine_chunks()]
+        sizes = np.array([len(f) for f in found], np.int64)
+        values, column, seen = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        shared = seen[column] > 1  # a shingle of one member only is in no intersection
+        row = np.repeat(np.arange(len(sizes)), sizes)[shared]
+        column = (np.cumsum(seen > 1) - 1)[column[shared]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        same = np.zeros((len(sizes), len(sizes)), np.float32)
+        width = 4096
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, [first, first + width])
+            block = np.zeros((len(sizes), width), np.float32)
+            block[row[a:b], column[a:b] - first] = 1
+            same += block @ block.T
+        linked = (100 * same >= PERCENT * (sizes[:, None] + sizes[None, :] - same)) | (label[:, None] == label[None, :])
+        root = np.arange(len(sizes))
+        while True:
+            least = np.where(linked, root[None, :], len(sizes)).min(axis=1)
+            if (least == root).all():
+                break
+            root = least
+        node = table.column("node").combine_chunks()
+        moved = np.flatnonzero(label != label[root])
+        return pa.table({"a": node.take(pa.array(moved)), "b": node.take(pa.array(root[moved]))})
+
+    typed = "region long, part long, deeper int, share long, node binary, label binary"
+    marked = members.join(nodes.select("node", "signature"), "node").select(*_REGION, "node", "label", "signature")
+    picked = stage(marked.repartition(partitions, *_REGION).groupBy(*_REGION).applyInArrow(promising, typed), "promising")
+    full = picked.join(sets, "node").select(*_REGION, "node", "label", "shingles")
+    return full.repartition(partitions, *_REGION).groupBy(*_REGION).applyInArrow(links, "a binary, b binary").distinct()
 
 
 def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region: int = 1000) -> DataFrame:
@@ -328,9 +374,8 @@ def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region:
     rest = across(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels)
     second = stage(alike(rest, nodes), "second")
     labels = _merge(confirm(second, sets), labels)
-    tested = first.unionByName(second)
-    third = region_pairs(members, labels, nodes, region).join(tested, ["a", "b"], "left_anti")
-    labels = _merge(confirm(stage(third, "third"), sets), labels)
+    mixed = mixed_regions(members, labels, region)
+    labels = _merge(region_links(mixed, nodes, sets, partitions), labels)
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
     of_node = named.join(least, "label").select("node", "component_id")

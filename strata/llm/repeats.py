@@ -46,7 +46,7 @@ VALUE, WANT, SHIP, HOT = 1, 2, 4, 8
 
 RECORD = np.dtype([("key", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("doc", "<i8")])
 ANSWER = np.dtype([("key", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("doc", "<i8"), ("code", "u1")])
-SENT = np.dtype([("id", "<u8"), ("n", "<u4"), ("doc", "<i8"), ("size", "<u4")])
+SENT = np.dtype([("id", "<u8"), ("key", "<u8"), ("n", "<u4"), ("doc", "<i8"), ("size", "<u4")])
 SINGLE = np.dtype([("hash", "<u8"), ("n", "<u4"), ("doc", "<i8")])
 RUN = np.dtype([("id", "<u8"), ("length", "<u4"), ("value", "<i8")])
 
@@ -267,7 +267,8 @@ def _send(op: Repeats, pack: str, answers: np.ndarray, text: str, doc: str, buck
             k += 1
         shift += len(symbols)
     sent = np.zeros(len(asked), SENT)
-    sent["id"], sent["n"], sent["doc"], sent["size"] = segment_id(asked["key"], asked["digest"]), asked["n"], asked["doc"], [len(c) for c in content]
+    sent["id"], sent["key"], sent["n"], sent["doc"] = segment_id(asked["key"], asked["digest"]), asked["key"], asked["n"], asked["doc"]
+    sent["size"] = [len(c) for c in content]
     hot = _hot_segments(own, answers)
     at, hashes = _single_windows(op, batch, text, own, hot)
     singles = np.zeros(0, SINGLE)
@@ -289,6 +290,18 @@ def _send(op: Repeats, pack: str, answers: np.ndarray, text: str, doc: str, buck
         yield pack, b, ids[to_want == b].tobytes(), sent[rows].tobytes(), b"".join([content[i] for i in rows]), singles[to_single == b].tobytes()
 
 
+def _key_batches(op: Repeats, records: np.ndarray, content: list[np.ndarray], most: int = 250_000) -> Iterator[tuple[int, int]]:
+    """Ranges of segments of about ``most`` windows; those of one minimizer stay together."""
+    heads = np.append(np.flatnonzero(_groups(records["key"])), len(records))
+    windows = np.cumsum([0, *(len(c) - op.width + 1 for c in content)])
+    a = 0
+    for b, after in zip(heads[1:-1].tolist(), heads[2:].tolist(), strict=True):
+        if windows[after] - windows[a] > most:
+            yield a, b
+            a = b
+    yield a, len(records)
+
+
 def _resolved(op: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, bytes]]:
     """Runs of window values for waiting packs, and totals of single windows."""
     names: dict[str, int] = {}
@@ -313,7 +326,9 @@ def _resolved(op: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[
     ids, owner, records = np.concatenate(wanted), np.concatenate(want_owner), np.concatenate(sent)
     runs, first, many = np.zeros(0, RUN), none, none
     if len(records):
-        values = op.resolve(records, content)
+        order = np.argsort(records["key"], kind="stable")
+        records, content = records[order], [content[i] for i in order.tolist()]
+        values = [v for a, b in _key_batches(op, records, content) for v in op.resolve(records[a:b], content[a:b])]
         flat = np.concatenate(values)
         segment = np.repeat(np.arange(len(values)), [len(v) for v in values])
         at = np.flatnonzero(_groups(segment, flat))
@@ -392,7 +407,7 @@ def _table(rows, names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
 
 
 def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "text", doc: str = "doc_id",
-        pack_bytes: int = 4 << 20, hot: int = 20_000, hot_pack: int = 256) -> DataFrame:
+        pack_bytes: int = 4 << 20, hot: int = 5_000, hot_pack: int = 256) -> DataFrame:
     """``docs`` with the columns that ``op.finish`` adds or changes."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -430,7 +445,7 @@ def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "t
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table(list(_resolved(op, batches)), ["pack", "runs", "singles"], [pa.string(), pa.binary(), pa.binary()])
 
-    sending = counted.groupBy("pack").applyInArrow(send, "pack string, bucket long, wanted binary, sent binary, content binary, singles binary")
+    sending = counted.repartition(buckets, "pack").groupBy("pack").applyInArrow(send, "pack string, bucket long, wanted binary, sent binary, content binary, singles binary")
     solved = stage(sending.repartition(buckets, "bucket").mapInArrow(resolve, "pack string, runs binary, singles binary"), "resolved")
 
     none = F.lit(None).cast("binary")
@@ -444,4 +459,4 @@ def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "t
 
     names = {f.name for f in added}
     schema = T.StructType([f for f in docs.schema.fields if f.name not in names] + added)
-    return parts.groupBy("pack").applyInArrow(finish, schema)
+    return parts.repartition(buckets, "pack").groupBy("pack").applyInArrow(finish, schema)
