@@ -143,3 +143,17 @@ def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool
     starts, ends = marks[::2], marks[1::2]
     symbols = SYMBOLS[LOWER[raw]] if lower else SYMBOLS[raw]
     return span_hash(prefix(symbols), starts, ends), starts, ends, np.searchsorted(starts, offsets, side="left")
+
+
+def all_words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Like :func:`words`, worked out chunk by chunk so that only the words' own arrays are held."""
+    parts, bounds, shift = [], [np.zeros(1, np.int64)], 0
+    for i, j in chunks(offsets):
+        hashes, starts, ends, own = words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], is_word, lower)
+        parts.append((hashes, starts + offsets[i], ends + offsets[i]))
+        bounds.append(own[1:] + shift)
+        shift += len(hashes)
+    empty = (np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    hashes, starts, ends = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else empty
+    return hashes, starts, ends, np.concatenate(bounds)

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORD, U64, stage_path, text_bytes, words
+from .common import ALNUM_WORD, U64, all_words, stage_path, text_bytes
 from .fm_index import FMIndex
 from .pretokens import slices
 
 N = 13
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 
 
 class Phrases:
@@ -118,7 +118,7 @@ def stage_benchmark(benchmark: DataFrame, block_words: int = 250_000, item: str
     """Write the items' word hashes to the shared folder; returns the block files."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, _, _, bounds = words(*text_bytes(batch.column("text")), ALNUM_WORD, lower=True)
+            hashes, _, _, bounds = all_words(*text_bytes(batch.column("text")), ALNUM_WORD, lower=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("item"), pa.array([hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
                 ["item", "words"])
@@ -170,7 +170,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = N, share: int = 20, te
 
 def _judged(part: pa.RecordBatch, text: str, blocks, share: int, clean: str | None) -> pa.RecordBatch:
     raw, offsets = text_bytes(part.column(text))
-    hashes, starts, ends, bounds = words(raw, offsets, ALNUM_WORD, lower=True)
+    hashes, starts, ends, bounds = all_words(raw, offsets, ALNUM_WORD, lower=True)
     hit, items = shard_hits(hashes, bounds, blocks)
     before = np.concatenate([[0], np.cumsum(hit)])
     n_words, n_hit = np.diff(bounds), before[bounds[1:]] - before[bounds[:-1]]
