@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidy
 from .pretokens import PieceEncoder, id_values, joined, slices, with_columns
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,7 +77,12 @@ class ByteBPE:
         self.chars = {b: c for b, c in enumerate(byte_characters())}
         self.whole_token = {t: i for i, t in enumerate(self.tokens)}
         self.token_bytes = pa.array(self.tokens, type=pa.large_binary())
-        self.pieces = PieceEncoder(regex.compile(pattern).findall, self.pre_tokens)
+        self.split = regex.compile(pattern).findall
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with empty memos: they serve one task and don't stay with the worker."""
+        self.pieces = PieceEncoder(self.split, self.pre_tokens)
 
     def pre_tokens(self, tokens: list[str]) -> list[bytes]:
         """Ids of each pre-token; a pre-token that is itself in the vocabulary is that id."""
@@ -121,8 +127,9 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCA
         for batch in batches:
             for part in slices(batch, text):
                 yield _encoded(part, bpe, text, ids)
+        bpe.forget()
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType())]))
+    return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType())]))
 
 
 def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str = VOCABULARY,
@@ -134,7 +141,7 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str
             for part in slices(batch, ids, 32 << 20):
                 yield _decoded(part, bpe, ids, decoded)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
+    return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
 
 
 def _sha256(values: pa.Array, without_last: int = 0) -> list[str]:
@@ -162,6 +169,7 @@ def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_to
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(_sha256(lines, 1)), pa.array(_sha256(bpe.decode(coded))), *([coded.cast(pa.binary())] if ids else [])],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *([ids] if ids else [])])
+        bpe.forget()
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (f", {ids} binary" if ids else ""))
+    return slim.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (f", {ids} binary" if ids else ""))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORD, U64, all_words, stage_path, text_bytes
+from .common import ALNUM_WORD, U64, all_words, stage_path, text_bytes, tidy
 from .fm_index import FMIndex
 from .pretokens import slices
 
@@ -126,7 +126,7 @@ def stage_benchmark(benchmark: DataFrame, block_words: int = 250_000, item: str
     spark = benchmark.sparkSession
     path = stage_path(spark, "benchmark")
     slim = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).cast("string").alias("text"))
-    slim.mapInArrow(run, "item string, words binary").where(F.length("words") > 0).write.parquet(f"{path}/items")
+    slim.mapInArrow(tidy(run), "item string, words binary").where(F.length("words") > 0).write.parquet(f"{path}/items")
     items = spark.read.schema("item string, words binary").parquet(f"{path}/items")
     total = items.agg(F.sum(F.length("words") / 8)).first()[0] or 0
     blocks = int(total // block_words) + 1
@@ -165,7 +165,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = N, share: int = 20, te
                     kept = list(read_blocks(files, n))
                 yield _judged(part, text, kept or read_blocks(files, n), share, clean)
 
-    return docs.select(*[f.name for f in fields]).mapInArrow(run, T.StructType([*fields, *added]))
+    return docs.select(*[f.name for f in fields]).mapInArrow(tidy(run), T.StructType([*fields, *added]))
 
 
 def _judged(part: pa.RecordBatch, text: str, blocks, share: int, clean: str | None) -> pa.RecordBatch:

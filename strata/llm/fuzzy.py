@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, mix, prefix, span_hash, stage
+from .common import U64, mix, prefix, span_hash, stage, tidy
 
 ROLL = 7
 SMALLEST = 8
@@ -184,7 +184,7 @@ def compare_in_order(docs: DataFrame, partitions: int | None = None) -> DataFram
             yield _rows([blank(held[0])], "last", part, held[1])
 
     done = stage(slim.repartitionByRange(partitions, order).sortWithinPartitions(order, "text")
-                 .mapInArrow(run, f"{RESULT}, role string, part long, text string"), "fingerprints")
+                 .mapInArrow(tidy(run), f"{RESULT}, role string, part long, text string"), "fingerprints")
     parts = done.where("role = 'first'").select("part")
     after = parts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("next_part"))
     ends = (done.where("role = 'last'").select("doc_id", "text", "part").join(after, "part")
@@ -195,4 +195,4 @@ def compare_in_order(docs: DataFrame, partitions: int | None = None) -> DataFram
             out = [r for d in batch.to_pylist() for r in _results([d["doc_id"]], [d["text"]], d["following"])]
             yield _rows(out).select([f for f, _ in _FIELDS])
 
-    return done.where("role is null").select(*[f for f, _ in _FIELDS]).unionByName(ends.select("doc_id", "text", "following").mapInArrow(close, RESULT))
+    return done.where("role is null").select(*[f for f, _ in _FIELDS]).unionByName(ends.select("doc_id", "text", "following").mapInArrow(tidy(close), RESULT))

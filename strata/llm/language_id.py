@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, text_bytes
+from .common import chunks, text_bytes, tidy
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -184,7 +184,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
                     [pa.array(part.column("key").to_pylist() * len(pick), pa.string()), pa.array(part.column("label").to_pylist() * len(pick), pa.string()),
                      pa.array([windows[p].tobytes() for p in pick], pa.binary())], ["key", "label", "bytes"])
 
-    got = sorted((r["label"], r["key"] or "", bytes(r["bytes"])) for r in sample.mapInArrow(cut, "key string, label string, bytes binary").toLocalIterator())
+    got = sorted((r["label"], r["key"] or "", bytes(r["bytes"])) for r in sample.mapInArrow(tidy(cut), "key string, label string, bytes binary").toLocalIterator())
     labels = sorted({g[0] for g in got})
     if not got:
         return None
@@ -215,7 +215,7 @@ def predict(df: DataFrame, model: ByteCNN | None, text: str = "text", label: str
                 scores[i:j][known] = np.clip(total[np.arange(j - i), best][known], 0, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores)], [*batch.schema.names, label, score])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())]))
+    return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())]))
 
 
 def held_out(key: str = "doc_id"):

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, U64, chunks, mix, stage, text_bytes, words
+from .common import SPACE_WORD, U64, chunks, mix, stage, text_bytes, tidy, words
 
 SHINGLE = 5
 PERCENT = 75
@@ -101,7 +101,7 @@ def describe(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFr
                                              ["doc_id", "n_shingles", "node", "signature"])
 
     slim = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, node binary, signature binary")
+    return slim.mapInArrow(tidy(run), "doc_id long, n_shingles long, node binary, signature binary")
 
 
 def forest_rows(nodes: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def forest_rows(nodes: DataFrame) -> DataFrame:
                 node = part.column("node").take(pa.array(np.repeat(np.arange(len(marks)), ORDERS)))
                 yield pa.RecordBatch.from_arrays([pa.array(region.ravel()), pa.array(rest.ravel()), node], ["region", "rest", "node"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "region long, rest long, node binary")
+    return nodes.select("node", "signature").mapInArrow(tidy(run), "region long, rest long, node binary")
 
 
 def common_prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -184,7 +184,7 @@ def sorted_neighbours(rows: DataFrame, partitions: int) -> tuple[DataFrame, Data
             yield from cleared(pa.Table.from_batches([held]), True)
 
     ordered = rows.repartitionByRange(partitions, "region", "rest", "node").sortWithinPartitions("region", "rest", "node")
-    found = stage(ordered.mapInArrow(run, "kind string, part int, region long, rest long, node binary, other binary, depth int"), "forest")
+    found = stage(ordered.mapInArrow(tidy(run), "kind string, part int, region long, rest long, node binary, other binary, depth int"), "forest")
     ends = found.where("kind in ('first', 'last')")
     firsts, lasts = ends.where("kind = 'first'"), ends.where("kind = 'last'")
     after = firsts.select("part", F.lead("part").over(Window.orderBy("part")).alias("next_part"))  # one row per partition
@@ -211,7 +211,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, text: str = "text", doc: str = "
 
     slim = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     wanted = needed.select("doc").distinct()
-    return slim.join(wanted, slim["doc_id"].eqNullSafe(wanted["doc"]), "left_semi").select("text").mapInArrow(run, "node binary, shingles binary")
+    return slim.join(wanted, slim["doc_id"].eqNullSafe(wanted["doc"]), "left_semi").select("text").mapInArrow(tidy(run), "node binary, shingles binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     full = (pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
-    return full.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary").distinct()
+    return full.select("a", "b", "x", "y").mapInArrow(tidy(run), "a binary, b binary").distinct()
 
 
 def contract(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -270,7 +270,7 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     marked = (pairs.select("a", "b").join(nodes.select(F.col("node").alias("a"), F.col("signature").alias("p")), "a")
               .join(nodes.select(F.col("node").alias("b"), F.col("signature").alias("q")), "b"))
-    return marked.select("a", "b", "p", "q").mapInArrow(run, "a binary, b binary")
+    return marked.select("a", "b", "p", "q").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def mixed_regions(members: DataFrame, labels: DataFrame, region: int) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, chunks, mix, prefix, span_hash, stage, stage_path, text_bytes
+from .common import U64, chunks, give_back, mix, prefix, span_hash, stage, stage_path, text_bytes, tidy
 from .pretokens import slices
 from .windows import segments
 
@@ -427,16 +427,17 @@ def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "t
                 put(f"{name}.segments", sink.getvalue())
                 yield _table([(name, -1, b""), *_dealt(name, records, buckets)], ["pack", "bucket", "data"], [pa.string(), pa.int64(), pa.binary()])
 
-    packed = stage(docs.mapInArrow(pack, "pack string, bucket long, data binary"), "packed")
+    packed = stage(docs.mapInArrow(tidy(pack), "pack string, bucket long, data binary"), "packed")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records, owner, names = _gather(batches, RECORD)
         answers, owner = count_records(records, owner, hot, op.by_doc)
         yield _table(list(_by_pack(answers, owner, names)), ["pack", "data"], [pa.string(), pa.binary()])
 
-    counted = stage(packed.where("bucket >= 0").repartition(buckets, "bucket").mapInArrow(count, "pack string, data binary"), "counted")
+    counted = stage(packed.where("bucket >= 0").repartition(buckets, "bucket").mapInArrow(tidy(count), "pack string, data binary"), "counted")
 
     def send(table: pa.Table) -> pa.Table:
+        give_back()
         answers = np.concatenate([np.frombuffer(d, ANSWER) for d in table.column("data").to_pylist()])
         rows = list(_send(op, table.column("pack")[0].as_py(), answers, text, doc, buckets)) if (answers["code"] & (WANT | SHIP | HOT)).any() else []
         return pa.Table.from_batches([_table(rows, ["pack", "bucket", "wanted", "sent", "content", "singles"],
@@ -446,7 +447,7 @@ def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "t
         yield _table(list(_resolved(op, batches)), ["pack", "runs", "singles"], [pa.string(), pa.binary(), pa.binary()])
 
     sending = counted.repartition(buckets, "pack").groupBy("pack").applyInArrow(send, "pack string, bucket long, wanted binary, sent binary, content binary, singles binary")
-    solved = stage(sending.repartition(buckets, "bucket").mapInArrow(resolve, "pack string, runs binary, singles binary"), "resolved")
+    solved = stage(sending.repartition(buckets, "bucket").mapInArrow(tidy(resolve), "pack string, runs binary, singles binary"), "resolved")
 
     none = F.lit(None).cast("binary")
     parts = (packed.where("bucket = -1").select("pack", none.alias("data"), none.alias("runs"), none.alias("singles"))
@@ -454,6 +455,7 @@ def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "t
              .unionByName(solved.select("pack", none.alias("data"), "runs", "singles")))
 
     def finish(table: pa.Table) -> pa.Table:
+        give_back()
         joined = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(d, kind) for d in table.column(c).to_pylist() if d]])
         return pa.Table.from_batches([_removed(op, table.column("pack")[0].as_py(), text, doc, joined("data", ANSWER), joined("runs", RUN), joined("singles", SINGLE))])
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_characters
-from .common import stage, stage_path
+from .common import stage, stage_path, tidy
 from .pretokens import PieceEncoder, id_values, slices
 
 MAGIC = b"PLANES01"
@@ -235,7 +235,7 @@ def write_ids(docs: DataFrame, folder: str, partitions: int | None = None, path:
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text"))
-    return stage(ordered.mapInArrow(run, MANIFEST), "token-manifest")
+    return stage(ordered.mapInArrow(tidy(run), MANIFEST), "token-manifest")
 
 
 def read_ids(manifest: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.repartition(n, "path").mapInArrow(run, RESULT)
+    return files.repartition(n, "path").mapInArrow(tidy(run), RESULT)
 
 
 def store_and_read(docs: DataFrame, **options) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, stage_path
+from .common import stage, stage_path, tidy
 
 SKIPPABLE = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -179,7 +179,7 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = 0, dictiona
             done.append(archive.close())
         yield pa.RecordBatch.from_pylist(done, pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    return stage(mark_revisits(pages, min_payload).mapInArrow(run, MANIFEST), "warc-manifest")
+    return stage(mark_revisits(pages, min_payload).mapInArrow(tidy(run), MANIFEST), "warc-manifest")
 
 
 def _batches(rows: Iterable[tuple], size: int = 4096) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                     yield from _batches(page_of(h, b) for h, b in read_records(source))
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.select("path").repartition(n, "path").mapInArrow(run, RESULT)
+    return manifest.select("path").repartition(n, "path").mapInArrow(tidy(run), RESULT)
 
 
 def archive_and_read(pages: DataFrame, **options) -> DataFrame:
