@@ -28,6 +28,8 @@ from .common import tidy
 from .pretokens import PieceEncoder, id_values, joined, slices, with_columns
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Bytes of text encoded at a time, and pieces remembered within a task: both bound memory only.
+SLICE, REMEMBERED = 2 << 20, 100_000
 
 
 def byte_characters() -> list[str]:
@@ -82,7 +84,7 @@ class ByteBPE:
 
     def forget(self) -> None:
         """Start with empty memos: they serve one task and don't stay with the worker."""
-        self.pieces = PieceEncoder(self.split, self.pre_tokens)
+        self.pieces = PieceEncoder(self.split, self.pre_tokens, REMEMBERED)
 
     def pre_tokens(self, tokens: list[str]) -> list[bytes]:
         """Ids of each pre-token; a pre-token that is itself in the vocabulary is that id."""
@@ -125,7 +127,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 yield _encoded(part, bpe, text, ids)
         bpe.forget()
 
@@ -138,7 +140,7 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            for part in slices(batch, ids, 32 << 20):
+            for part in slices(batch, ids, 4 * SLICE):
                 yield _decoded(part, bpe, ids, decoded)
 
     return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
@@ -162,7 +164,7 @@ def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_to
         bpe = codec(path, pattern)
         decimal = pa.array([b"%d " % i for i in range(len(bpe.tokens))], type=pa.large_binary())
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 coded = bpe.encode(part.column("text"))
                 flat, ends = id_values(coded)
                 lines = joined(decimal.take(pa.array(flat.astype(np.int64))), ends)

@@ -38,7 +38,7 @@ class Memo:
     The first ``limit`` short keys are kept, the frequent ones among them; others are encoded again when they return.
     """
 
-    def __init__(self, limit: int = 250_000, longest: int = 32):
+    def __init__(self, limit: int, longest: int = 32):
         self.limit, self.longest = limit, longest
         self.known: dict[str, bytes] = {}
 
@@ -59,9 +59,9 @@ class Memo:
 class PieceEncoder:
     """Encodes columns of texts. ``split`` cuts a string into pre-tokens; ``encode_many`` gives each pre-token's ids as bytes."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[bytes]]):
+    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[bytes]], remembered: int = 250_000):
         self.split, self.encode_many = split, encode_many
-        self.pieces, self.tokens = Memo(), Memo()
+        self.pieces, self.tokens = Memo(remembered), Memo(remembered)
 
     def _cut(self, piece: str) -> list[str]:
         """Pre-tokens of a space and what follows it; words, and words with one mark after them, need no pattern."""
