@@ -7,7 +7,6 @@ handful) are collected, to build result tables.
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
@@ -21,9 +20,6 @@ from strata.forecasting import models as MD
 from strata.functions.expressions import nullif_zero
 from strata.session import cut_lineage
 
-ROWS_PER_TRAINING_PARTITION = 200_000
-
-
 def feature_set(target: str) -> list[str]:
     """The chosen feature list of a target (11 for vacancies, 6 for wage)."""
     return list(spec.FEATURES[target])
@@ -92,19 +88,17 @@ def rmse_reduction_pct(model_rmse: float, baseline_rmse: float) -> float:
 
 
 # ------------------------------------------------------------- training data
-def training_frame(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Rows with a known target, features typed, missing flags added,
-    partitioned by size and checkpointed to the shared checkpoint folder.
-
-    Boosting makes one pass per tree, so the input is materialised once
-    (lineage cut, survives executor loss) and split into partitions of about
-    ``ROWS_PER_TRAINING_PARTITION`` rows — small inputs become one partition,
-    which keeps per-tree job latency low; large ones keep full parallelism.
+def training_frame(df: DataFrame, features: Sequence[str], target: str, partitions: int = 4,
+                   keys: Sequence[str] = ("geo", "naics")) -> DataFrame:
+    """Rows with a known target, features typed, missing flags added, written once to the
+    checkpoint folder and hash-partitioned by series.
+
+    Boosting makes one pass per tree. ``partitions`` is the parallelism of each pass and is the
+    caller's choice: with a row fraction below 1 the sampled rows depend on it, so it is
+    never derived from the size of the data.
     """
     d = cut_lineage(MD.with_missing_indicators(df.filter(F.col(target).isNotNull()), features), "train")
-    n = d.count()                       # parquet footers: no data pass
-    parts = max(1, math.ceil(n / ROWS_PER_TRAINING_PARTITION))
-    return d.repartition(parts) if d.rdd.getNumPartitions() != parts else d
+    return d.repartition(partitions, *[k for k in keys if k in d.columns])
 
 
 def fit(train: DataFrame, features: Sequence[str], target: str, params: Mapping | None = None,
@@ -148,41 +142,46 @@ def ablation(train: DataFrame, valid: DataFrame, features: Sequence[str], target
     return spark.createDataFrame(rows, schema)
 
 
+def numbered(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """Rows with their 0-based place in the order of ``by``: a range-partitioned sort, then one offset per partition."""
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+                    .withColumns({"__part": F.spark_partition_id(), "__place": place}), "numbered")
+    from pyspark.sql import Window
+    sizes = d.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # one row per partition
+    offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__offset"))
+    return d.join(offsets, "__part").withColumn(out, F.col("__offset") + F.col("__place")).drop("__part", "__place", "__offset")
+
+
 def permutation_importance(model, test: DataFrame, features: Sequence[str], target: str,
-                           n_repeats: int = 30, seed: int = 0,
-                           rows_per_bucket: int = 100_000) -> DataFrame:
+                           n_repeats: int = 30, seed: int = 0) -> DataFrame:
     """Mean and deviation of the RMSE increase when one feature is shuffled.
 
-    Every (feature, repeat) copy of the test rows is built and scored in one
-    DataFrame: within each copy the feature's values are permuted by ranking
-    rows on a seeded hash and joining value rank → row rank. Large test sets
-    are permuted within hash buckets of ``rows_per_bucket`` rows so no single
-    task holds a whole copy. RMSE per copy is one grouped aggregate.
+    Each (feature, repeat) is one permutation of the whole test set, whatever its size or
+    partitioning: rows are numbered once, all copies of (row, value) are numbered in the order of
+    a seeded hash, and a copy's place within its (feature, repeat) names the row that gets the
+    value. Only row number and value are sorted; full rows move once, to meet the values.
     """
     feats = list(features)
     spark = test.sparkSession
-    base_rows = test.filter(F.col(target).isNotNull())
+    base_rows = cut_lineage(test.filter(F.col(target).isNotNull()), "perm-test")
     base_rmse = rmse_of(model, base_rows, feats, target)
     n = base_rows.count()
-    buckets = max(1, math.ceil(n / rows_per_bucket))
-    rid = F.xxhash64(*[F.col(c).cast("string") for c in base_rows.columns])
-    rows = cut_lineage(base_rows.withColumn("__rid", rid), "perm-test")
-    copies = rows.select("*", F.explode(F.array(*[F.lit(f) for f in feats])).alias("__feat"),
-                         F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("__rep"))
-    copies = copies.withColumn("__bucket", F.pmod(F.xxhash64("__rid", F.lit(seed)), F.lit(buckets)))
-    from pyspark.sql import Window
-    grp = Window.partitionBy("__feat", "__rep", "__bucket")
-    val = F.coalesce(*[F.when(F.col("__feat") == f, F.col(f).cast("double")) for f in feats])
-    keyed = copies.withColumns({
-        "__pos": F.row_number().over(grp.orderBy("__rid")),
-        "__ppos": F.row_number().over(grp.orderBy(F.xxhash64("__rid", "__feat", "__rep", F.lit(seed)), "__rid")),
-        "__val": val})
-    donors = keyed.select("__feat", "__rep", "__bucket", F.col("__ppos").alias("__pos"),
-                          F.col("__val").alias("__pval"))
-    permuted = keyed.join(donors, ["__feat", "__rep", "__bucket", "__pos"])
+    content = sorted(base_rows.columns)
+    rid = F.xxhash64(*[F.col(c).cast("string") for c in content])
+    rows = cut_lineage(numbered(base_rows.withColumn("__rid", rid), ["__rid", *content], "__pos"), "perm-rows").drop("__rid")
+    copies = rows.select("__pos", F.posexplode(F.array(*[F.col(f).cast("double") for f in feats])).alias("__feat_no", "__pval"))
+    copies = copies.withColumn("__rep", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
+    copies = copies.withColumn("__order", F.xxhash64("__pos", "__feat_no", "__rep", F.lit(seed)))
+    shuffled = numbered(copies, ["__feat_no", "__rep", "__order", "__pos"], "__nth")
+    name = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("__feat_no") + 1)
+    donors = shuffled.select(name.alias("__feat"), "__rep", F.expr(f"__nth % {max(n, 1)}").alias("__pos"), "__pval")
+    permuted = rows.join(donors, "__pos")
     permuted = permuted.withColumns({f: F.when(F.col("__feat") == f, F.col("__pval")).otherwise(F.col(f))
                                      for f in feats})
-    scored = MD.predict(model, permuted.drop("__val", "__pval", "__ppos", "__pos", "__bucket"), feats)
+    scored = MD.predict(model, permuted.drop("__pval", "__pos"), feats)
     per_copy = forecast_metrics(scored, target, "prediction", ["__feat", "__rep"], None)
     inc = per_copy.withColumn("increase", F.col("rmse") - F.lit(base_rmse))
     return (inc.groupBy(F.col("__feat").alias("feature"))

@@ -43,15 +43,15 @@ def cast_measure(df: DataFrame, col: str, to: str = "double") -> DataFrame:
 
 
 def parse_period(df: DataFrame, src: str, dst: str, fmt: str = "yyyy-MM") -> DataFrame:
-    """``yyyy-MM`` text → first-of-month date."""
-    return df.withColumn(dst, F.to_date(F.col(f"`{src}`"), fmt))
+    """``yyyy-MM`` text → first-of-month date; NULL for text that is no period."""
+    return df.withColumn(dst, F.try_to_date(F.col(f"`{src}`"), fmt))
 
 
 def period_year(df: DataFrame, src: str, dst: str, fmt: str = "yyyy-MM") -> DataFrame:
     """Calendar year of a ``yyyy-MM`` text or of a date column (int)."""
     field = df.schema[src].dataType.typeName()
     base = F.col(f"`{src}`") if field in ("date", "timestamp", "timestamp_ntz") \
-        else F.to_date(F.col(f"`{src}`"), fmt)
+        else F.try_to_date(F.col(f"`{src}`"), fmt)
     return df.withColumn(dst, F.year(base))
 
 

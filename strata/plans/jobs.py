@@ -110,17 +110,23 @@ def marts_job(spark: SparkSession, tables: Mapping[str, str], thresholds: DataFr
 
 def forecast_job(spark: SparkSession, mart_table: str, schema: str, start: str, cutoff: str,
                  exclude_geos=spec.EXCLUDE_GEOS, flag_windows: Mapping | None = None,
-                 params: Mapping | None = None) -> dict[str, str]:
+                 params: Mapping | None = None, model_dir: str | None = None) -> dict[str, str]:
     """Feature table, one model per target (evaluated on the temporal test
     slice against the naive baselines, refitted on all rows), recursive
-    predictions and the run log, all saved as tables."""
+    predictions and the run log, all saved as tables.
+
+    ``flag_windows`` defaults to the published event windows. Runs are appended to the log.
+    The fitted models are saved under ``model_dir`` (a shared folder) where one is given."""
+    import uuid
+
     from strata.forecasting import evaluate as EV
+    from strata.forecasting import models as MD
     from strata.forecasting.models import tree_summary
     from strata.forecasting.recursive import recursive_forecast
-    from strata.forecasting.runlog import run_log, save_predictions
+    from strata.forecasting.runlog import append_run_log, run_log, save_predictions
 
     feats = FE.ml_features(FE.materialized(spark.table(mart_table)), start, exclude_geos,
-                           flag_windows or {})
+                           spec.EVENT_WINDOWS if flag_windows is None else flag_windows)
     ftable = f"{schema}.ml_quarterly_features"
     io.save_table(feats, ftable)
     feats = spark.table(ftable)
@@ -130,8 +136,10 @@ def forecast_job(spark: SparkSession, mart_table: str, schema: str, start: str,
         fs = EV.feature_set(target)
         p = (params or spec.PUBLISHED_PARAMS)[target]
         split = EV.temporal_split(feats, "date_parsed", target, cutoff, cutoff)
-        model = EV.fit(EV.training_frame(split.filter("split = 'train'"), fs, target), fs, target, p)
-        test_rmse = EV.rmse_of(model, split.filter("split = 'test'"), fs, target)
+        train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+        model = EV.fit(EV.training_frame(train, fs, target), fs, target, p)
+        of_train = EV.forecast_metrics(MD.predict(model, train, fs), target, "prediction", (), None).first().asDict()
+        test_rmse = EV.rmse_of(model, test, fs, target)
         naive = {r.predictor: r.rmse for r in
                  EV.naive_baseline(feats, "date_parsed", target, cutoff).collect()}
         final = EV.fit(EV.training_frame(split, fs, target), fs, target, p)
@@ -139,10 +147,16 @@ def forecast_job(spark: SparkSession, mart_table: str, schema: str, start: str,
         ptable = f"{schema}.predictions_{'vacancies' if target == spec.VAC else 'wage'}"
         save_predictions(pred, ptable)
         out[target] = ptable
-        metrics = {"test_rmse": test_rmse, **{f"{k}_rmse": v for k, v in naive.items()},
+        metrics = {"test_rmse": test_rmse, **{f"train_{k}": v for k, v in of_train.items() if k in ("rmse", "mae", "mape", "r2")}, **{f"{k}_rmse": v for k, v in naive.items()},
                    **{f"rmse_vs_{k}_pct": EV.rmse_reduction_pct(test_rmse, v) for k, v in naive.items() if v}}
-        log = run_log(spark, f"{target}_gbt", p, metrics, {"trees": len(tree_summary(final))})
+        tags = {"trees": len(tree_summary(final)), "target": target, "start": start, "cutoff": cutoff, "features": ",".join(fs)}
+        run = f"{target}_gbt-{uuid.uuid4().hex[:12]}"
+        if model_dir:
+            tags["model"] = f"{model_dir.rstrip('/')}/{run}"
+            final.write().overwrite().save(tags["model"])
+            out[f"model_{target}"] = tags["model"]
+        log = run_log(spark, run, p, metrics, tags)
         logs = log if logs is None else logs.unionByName(log)
-    io.save_table(logs, f"{schema}.run_log")
+    append_run_log(logs, f"{schema}.run_log")
     out["run_log"] = f"{schema}.run_log"
     return out

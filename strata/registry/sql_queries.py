@@ -288,7 +288,7 @@ SQL["naive_baseline"] = with_(f"{_naive(VPK)} UNION ALL {_naive('avg_offered_hou
 # ------------------------------------------------------------ 2.1 (round trips)
 SQL["read_raw_csv"] = with_("SELECT * FROM quarterly_clean", "quarterly_clean")
 SQL["write_partitioned"] = with_("SELECT * FROM monthly_curated", "monthly_curated")
-SQL["read_partitioned_parquet"] = with_("SELECT * FROM quarterly_curated WHERE Year >= 2000", "quarterly_curated")
+SQL["read_partitioned_parquet"] = with_("SELECT * FROM quarterly_curated", "quarterly_curated")
 SQL["load_threshold_seed"] = with_("""
 SELECT geo, lmia_high_wage_threshold, '1/10/2001' AS effective_date, DATE '2001-10-01' AS effective_on,
        'derived' AS source FROM thresholds""", "thresholds")

@@ -45,7 +45,7 @@ def load_threshold_seed(spark: SparkSession, path: str) -> DataFrame:
         F.trim("geo").alias("geo"),
         F.col("lmia_high_wage_threshold").try_cast("double").alias("lmia_high_wage_threshold"),
         F.trim("effective_date").alias("effective_date"),
-        F.to_date(F.trim("effective_date"), "d/M/yyyy").alias("effective_on"),
+        F.try_to_date(F.trim("effective_date"), "d/M/yyyy").alias("effective_on"),
         F.trim("source").alias("source"),
     )
 
@@ -53,11 +53,12 @@ def load_threshold_seed(spark: SparkSession, path: str) -> DataFrame:
 def write_partitioned(df: DataFrame, path: str, by=("Year", "GEO"), mode: str = "overwrite") -> None:
     """Overwrite Parquet partitioned by ``by``.
 
-    Rows are first clustered on the partition columns so each task writes
-    whole partitions (one file per partition value instead of one per task).
+    Rows are first clustered on the partition columns by a rebalance: small
+    partition values share a task and a value that holds much of the rows is
+    split over several tasks, and so over several files.
     """
     by = list(by)
-    (df.repartition(*by).write.mode(mode).partitionBy(*by).parquet(path))
+    (df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path))
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:

@@ -144,6 +144,12 @@ QUARTER_PERIOD = 4
 RECENT_MONTHS = 24
 ACF_LAGS = 36
 
+# The event windows that flag quarters of the published models.
+EVENT_WINDOWS = {
+    "is_covid": ("2020-04-01", "2021-07-01"),
+    "is_post_covid_boom": ("2021-10-01", "2023-01-01"),
+}
+
 # --------------------------------------------------------------------------
 # Fixture parameters for panels derived from the driver tables (FIXTURES.md)
 # --------------------------------------------------------------------------

@@ -99,3 +99,19 @@ def test_draw_params_seeded():
 def test_run_log_rows(spark):
     df = run_log(spark, "r1", {"eta": 0.1}, {"rmse": 2.0}, {"model": "gbt"})
     assert sorted((r.kind, r.name) for r in df.collect()) == [("metric", "rmse"), ("param", "eta"), ("tag", "model")]
+
+
+def test_numbering_and_permutation_do_not_depend_on_partitioning(spark):
+    from pyspark.sql import functions as F
+    from strata.forecasting import evaluate as EV
+    df = spark.range(500).select((F.col("id") * 7919 % 500).alias("k"))
+    got = {r["k"]: r["p"] for r in EV.numbered(df.repartition(5), ["k"], "p").collect()}
+    assert got == {k: k for k in range(500)}
+
+    rows = [(i, float(i % 13), float(i % 7), float(i % 13) * 2) for i in range(120)]
+    data = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    model = EV.fit(EV.training_frame(data, ["a", "b"], "y", 2), ["a", "b"], "y", {"n_estimators": 3, "max_depth": 3})
+    one, many = ({r["feature"]: tuple(r) for r in EV.permutation_importance(model, data.repartition(k), ["a", "b"], "y", 3).collect()} for k in (1, 7))
+    assert set(one) == {"a", "b"}
+    for f in one:
+        assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(one[f], many[f], strict=True) if not isinstance(x, str))

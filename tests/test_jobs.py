@@ -46,3 +46,21 @@ def test_forecast_job(spark, tmp_dir):
     assert spark.table(out[spec.VAC]).count() == 4 * 4
     log = {(r.kind, r.name) for r in spark.table(out["run_log"]).collect()}
     assert ("metric", "test_rmse") in log and ("metric", "naive_lag4_rmse") in log
+
+
+def test_forecast_job_with_defaults_keeps_its_log(spark, tmp_dir):
+    rnd = random.Random(6)
+    rows = [(d, g, d.year, "N1", 20 + 3 * math.sin(i) + rnd.uniform(-1, 1), 20 + 0.2 * i)
+            for g in ("G1", "G2") for i, d in enumerate(fx.quarters(2018, 20))]
+    mart = spark.createDataFrame(rows, "date_parsed date, geo string, year int, naics string, "
+                                       "vacancies_per_1000 double, avg_offered_hourly_wage double")
+    io.create_schema(spark, "e2e_fd")
+    io.save_table(mart, "e2e_fd.mart")
+    small = {t: {"eta": 0.3, "max_depth": 2, "n_estimators": 2} for t in (spec.VAC, spec.WAGE)}
+    for _ in range(2):
+        out = J.forecast_job(spark, "e2e_fd.mart", "e2e_fd", "2018-01-01", "2021-10-01", [], params=small, model_dir=tmp_dir)
+    log = spark.table(out["run_log"])
+    assert log.select("run").distinct().count() == 4
+    assert {r["name"] for r in log.collect()} >= {"train_rmse", "test_rmse", "cutoff", "target", "model"}
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(out[f"model_{spec.VAC}"]).stages

@@ -113,3 +113,26 @@ def test_cast_measure_text_edge_cases(spark):
     df = spark.createDataFrame([("1.5",), ("",), ("x",), ("NaN",), ("nan",), (None,), (" 2 ",)], "VALUE string")
     got = [r.VALUE for r in cast_measure(df, "VALUE").collect()]
     assert got[0] == 1.5 and got[1:6] == [None] * 5
+
+
+def test_bad_period_becomes_null(spark):
+    from strata.operators.columns import parse_period, period_year
+    df = spark.createDataFrame([("2020-03",), ("n/a",), (None,)], "p string")
+    got = period_year(parse_period(df, "p", "d"), "p", "y").collect()
+    assert [str(r["d"]) for r in got] == ["2020-03-01", "None", "None"] and [r["y"] for r in got] == [2020, None, None]
+
+
+def test_hot_partition_is_written_as_several_files(spark, tmp_dir):
+    import glob
+    from pyspark.sql import functions as F
+    from strata.sources.io import write_partitioned
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        df = spark.range(200_000, numPartitions=8).select(F.when(F.col("id") % 50 == 0, F.col("id") % 3).otherwise(0).alias("Year"),
+                                                          F.lit("x").alias("GEO"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        write_partitioned(df, f"{tmp_dir}/hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(glob.glob(f"{tmp_dir}/hot/Year=0/GEO=x/*.parquet")) > 1
+    assert spark.read.parquet(f"{tmp_dir}/hot").count() == 200_000
