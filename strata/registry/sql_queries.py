@@ -82,12 +82,10 @@ LEFT JOIN (SELECT n, row_number() OVER (ORDER BY n) - 1 AS code FROM (SELECT DIS
 SQL["next_period"] = with_("SELECT geo, naics, CAST(max(date_parsed) + INTERVAL 3 MONTH AS DATE) AS next_date FROM stage_quarterly GROUP BY geo, naics", "stage_quarterly")
 
 # ------------------------------------------------------------ 2.3
-SQL["join_left_keys"] = with_("""
-SELECT m.*, mom.mom_change_pct FROM mm_yoy m
-LEFT JOIN mm_mom mom ON m.geo = mom.geo AND m.date_parsed = mom.date_parsed""", "mm_yoy", "mm_mom")
+SQL["join_left_keys"] = with_("SELECT * FROM monthly_changes", "monthly_changes")
 SQL["join_group_stats"] = with_("""
 SELECT s.*, a.avg_vacancies_per_1000, a.avg_job_vacancy_rate, a.total_job_vacancies
-FROM stage_monthly s LEFT JOIN mm_annual a ON s.geo = a.geo AND s.year = a.year""", "stage_monthly", "mm_annual")
+FROM stage_monthly s LEFT JOIN geo_years a ON s.geo = a.geo AND s.year = a.year""", "stage_monthly", "geo_years")
 SQL["lookup_dimension"] = with_("""
 SELECT s.*, t.lmia_high_wage_threshold FROM stage_quarterly s LEFT JOIN thresholds t ON s.geo = t.geo""",
                                "stage_quarterly", "thresholds")
@@ -114,10 +112,10 @@ SQL["duplicate_groups"] = with_("""
 SELECT GEO, Year, Statistics, count(*) AS count FROM monthly_clean
 GROUP BY GEO, Year, Statistics HAVING count(*) > 1""", "monthly_clean")
 SQL["pivot_statistics"] = with_("SELECT * FROM monthly_curated", "monthly_curated")
-SQL["period_averages"] = with_("SELECT * FROM mm_annual", "mm_annual")
-SQL["conditional_sums"] = with_("SELECT * FROM me_digital", "me_digital")
-SQL["concentration_pct"] = with_("SELECT * FROM me_conc", "me_conc")
-SQL["group_percentiles"] = with_("SELECT * FROM mq_pct", "mq_pct")
+SQL["period_averages"] = with_("SELECT * FROM geo_years", "geo_years")
+SQL["conditional_sums"] = with_("SELECT * FROM digital_sums", "digital_sums")
+SQL["concentration_pct"] = with_("SELECT * FROM digital_shares", "digital_shares")
+SQL["group_percentiles"] = with_("SELECT * FROM rate_quantiles", "rate_quantiles")
 SQL["missing_share"] = with_(f"""
 SELECT geo, n_missing, n_rows, n_missing / n_rows * 100 AS pct_missing, n_missing / n_rows * 100 > 10 AS over_threshold
 FROM (SELECT geo, CAST(count_if({VPK} IS NULL) AS BIGINT) AS n_missing, count(*) AS n_rows FROM mart_quarterly GROUP BY geo) g""",
@@ -151,7 +149,8 @@ FROM stage_quarterly WINDOW w AS (PARTITION BY geo, naics ORDER BY date_parsed)"
 SQL["rank_masked"] = with_("""
 SELECT *, CASE WHEN job_vacancy_rate IS NOT NULL THEN CAST(rank() OVER (PARTITION BY geo, date_parsed ORDER BY job_vacancy_rate DESC NULLS LAST) AS INTEGER) END AS demand_rank
 FROM stage_quarterly""", "stage_quarterly")
-SQL["sustained_demand_pct"] = with_(f"SELECT {K}, pct_quarters_above_threshold_2yr FROM mq_sustained", "mq_sustained")
+SQL["sustained_demand_pct"] = with_(f"SELECT {K}, pct_quarters_above_threshold_2yr FROM stage_quarterly LEFT JOIN recent_shares USING (geo, naics)",
+                                   "stage_quarterly", "recent_shares")
 SQL["interpolate_limited"] = with_(f"SELECT {K}, {VPK}, avg_offered_hourly_wage FROM interpolated", "interpolated")
 _W = "OVER (PARTITION BY geo, naics ORDER BY date_parsed)"
 SQL["lag_features"] = with_(f"SELECT {K}, {VPK}, " + ", ".join(
