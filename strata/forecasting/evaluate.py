@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from strata import spec
 from strata.forecasting import models as MD
 from strata.functions.expressions import nullif_zero
+from strata.operators.ordering import numbered
 from strata.session import cut_lineage
 
 def feature_set(target: str) -> list[str]:
@@ -142,19 +143,6 @@ def ablation(train: DataFrame, valid: DataFrame, features: Sequence[str], target
     return spark.createDataFrame(rows, schema)
 
 
-def numbered(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
-    """Rows with their 0-based place in the order of ``by``: a range-partitioned sort, then one offset per partition."""
-    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = cut_lineage(df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
-                    .withColumns({"__part": F.spark_partition_id(), "__place": place}), "numbered")
-    from pyspark.sql import Window
-    sizes = d.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # one row per partition
-    offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__offset"))
-    return d.join(offsets, "__part").withColumn(out, F.col("__offset") + F.col("__place")).drop("__part", "__place", "__offset")
-
-
 def permutation_importance(model, test: DataFrame, features: Sequence[str], target: str,
                            n_repeats: int = 30, seed: int = 0) -> DataFrame:
     """Mean and deviation of the RMSE increase when one feature is shuffled.

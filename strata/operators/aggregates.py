@@ -138,23 +138,30 @@ def missing_by_year(df: DataFrame, group: str, member: str, t: str, year: str, v
     where P is the number of distinct periods in the table. Series with at
     most ``hi × P`` NULLs get one row per year (years with fewer than
     ``min_year_missing`` NULLs skipped); others one row with NULL year.
+
+    ``df`` is read once: one (group, member, year) aggregate is stored, and
+    series totals, group totals and the number of periods come from it.
     """
+    from strata.session import cut_lineage
     v = _q(value)
-    n_periods = df.agg(F.count_distinct(_q(t))).scalar()  # one value, planned once
-    grp = missing_share(df, [group], value, group_threshold_pct).filter("over_threshold").select(group)
-    series = (df.join(grp, group, "left_semi")
-                .groupBy(group, member).agg(F.count_if(v.isNull()).alias("series_missing"))
-                .withColumn("n_periods", n_periods)
-                .filter(F.col("series_missing") >= F.lit(lo) * F.col("n_periods")))
-    yearly = (df.join(grp, group, "left_semi")
-                .groupBy(group, member, year).agg(F.count_if(v.isNull()).alias("year_missing")))
-    with_years = (series.filter(F.col("series_missing") <= F.lit(hi) * F.col("n_periods"))
-                  .join(yearly, [group, member], "inner")
-                  .filter(F.col("year_missing") >= F.lit(min_year_missing)))
-    without = (series.filter(F.col("series_missing") > F.lit(hi) * F.col("n_periods"))
-               .withColumns({year: F.lit(None).cast("int"), "year_missing": F.lit(None).cast("long")}))
-    cols = [group, member, "series_missing", "n_periods", year, "year_missing"]
-    return with_years.select(*cols).unionByName(without.select(*cols))
+    base = cut_lineage(df.groupBy(group, member, year).agg(
+        F.count_if(v.isNull()).alias("year_missing"),
+        F.count(F.lit(1)).alias("__rows"),
+        F.collect_set(_q(t)).alias("__periods")), "yearly")      # at most a year's periods each
+    n_periods = base.select(F.explode("__periods").alias("__t")).agg(F.count_distinct("__t")).scalar()
+    totals = base.groupBy(group).agg(F.sum("year_missing").alias("__m"), F.sum("__rows").alias("__n"))
+    grp = totals.filter(F.col("__m") / F.col("__n") * F.lit(100) > F.lit(group_threshold_pct)).select(group)
+    series = Window.partitionBy(group, member)
+    d = (base.join(grp, group, "left_semi")
+             .withColumns({"series_missing": F.sum("year_missing").over(series),
+                           "__first": F.row_number().over(series.orderBy(year))})
+             .withColumn("n_periods", n_periods)
+             .filter(F.col("series_missing") >= F.lit(lo) * F.col("n_periods")))
+    yearly = F.col("series_missing") <= F.lit(hi) * F.col("n_periods")
+    d = d.filter(F.when(yearly, F.col("year_missing") >= F.lit(min_year_missing)).otherwise(F.col("__first") == 1))
+    return d.select(group, member, "series_missing", "n_periods",
+                    F.when(yearly, _q(year)).cast("int").alias(year),
+                    F.when(yearly, F.col("year_missing")).alias("year_missing"))
 
 
 def anomaly_rows(df: DataFrame, keys: Sequence[str], t: str, value: str,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import expressions as X
+from strata.operators.ordering import numbered
 
 
 def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -107,29 +108,16 @@ def recent_window_flag(df: DataFrame, t: str, as_of: str, months: int = 24,
     return df.withColumn(out, X.recent_flag(t, as_of, months))
 
 
-MAX_INLINE_LABELS = 10_000
-
-
-def label_encode(df: DataFrame, col: str, out: str,
-                 max_inline_labels: int = MAX_INLINE_LABELS) -> DataFrame:
+def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
     """0-based code of each label in sorted label order (NULL stays NULL).
 
-    Small vocabularies (checked: at most ``max_inline_labels`` distinct
-    labels, counted with a capped ``limit``) travel as one sorted array from
-    a scalar subquery (``collect_set`` is combined map-side) and each row
-    looks its label up with ``array_position`` — no join, no global sort.
-    Larger vocabularies get exact contiguous codes from a distributed sort of
-    the distinct labels (``zipWithIndex``) joined back to the rows.
+    The distinct labels are numbered by a distributed sort and joined back;
+    AQE broadcasts the codes when they measure small. ``df`` is read twice, so
+    store it first where it is costly.
     """
     c = F.col(f"`{col}`")
     labels = df.select(c.alias("__label")).filter(F.col("__label").isNotNull()).distinct()
-    if labels.limit(max_inline_labels + 1).count() <= max_inline_labels:
-        vocab = df.agg(F.sort_array(F.collect_set(c))).scalar()
-        return df.withColumn(out, (F.array_position(vocab, c) - 1).cast("int"))
-    spark = df.sparkSession
-    indexed = labels.orderBy("__label").rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    codes = spark.createDataFrame(indexed, f"__label {dict(df.dtypes)[col]}, {out} long") \
-                 .withColumn(out, F.col(out).cast("int"))
+    codes = numbered(labels, ["__label"], out).withColumn(out, F.col(out).cast("int"))
     return df.join(codes, c == F.col("__label"), "left").drop("__label")
 
 

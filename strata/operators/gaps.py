@@ -36,19 +36,19 @@ def complete_panel(df: DataFrame, keys: Sequence[str], t: str, start: str,
 
     Periods missing for only some series are *not* filled (holes stay).
     ``keys`` are the series key columns, e.g. ``["geo", "naics"]``; the grid
-    is the product of their distinct values.
+    is the product of their distinct values, so it has at least as many rows
+    as any key has labels. Periods and labels are made distinct by hash
+    aggregates before they meet as one array each; no task sees data rows.
     """
     keys = list(keys)
     first, rest = keys[0], keys[1:]
-    # one scalar subquery: last period, observed periods, label sets
-    summary = df.agg(F.struct(F.max(t).alias("last"), F.collect_set(t).alias("seen"),
-                              *[F.collect_set(k).alias(f"labels_{i}") for i, k in enumerate(rest)])).scalar()
-    # the subquery is referenced once (as a column), so it runs once
-    grid = df.select(first).distinct().withColumn("__s", summary)
-    gap_arr = F.array_except(_calendar(start, F.col("__s.last"), step_months), F.col("__s.seen"))
-    for i, k in enumerate(rest):
-        grid = grid.select(*grid.columns, F.explode(F.col(f"__s.labels_{i}")).alias(k))
-    grid = grid.select(*keys, F.explode(gap_arr).alias(t))
+    gaps = missing_periods(df, t, start, step_months)     # at most the calendar's periods
+    grid = df.select(first).distinct().withColumn("__gaps", gaps.agg(F.sort_array(F.collect_list(t))).scalar())
+    for k in rest:
+        labels = df.select(k).filter(F.col(k).isNotNull()).distinct()
+        grid = grid.withColumn("__labels", labels.agg(F.collect_list(k)).scalar())
+        grid = grid.withColumn(k, F.explode("__labels")).drop("__labels")
+    grid = grid.select(*keys, F.explode("__gaps").alias(t))
     if year_col:
         grid = grid.withColumn(year_col, F.year(t))
     return df.unionByName(grid, allowMissingColumns=True)

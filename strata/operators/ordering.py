@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import cut_lineage
+
 
 def _order(spec) -> Column:
     if isinstance(spec, Column):
@@ -57,3 +59,17 @@ def rank_importance(df: DataFrame, score: str, out: str = "rank") -> DataFrame:
     """
     w = Window.orderBy(F.col(f"`{score}`").desc_nulls_last(), F.col("feature"))
     return df.withColumn(out, F.row_number().over(w)).orderBy(out)
+
+
+def numbered(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """Rows with their 0-based place in the order of ``by``: a range-partitioned
+    sort, stored once, then one offset per partition. No task sees all rows."""
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+                    .withColumns({"__part": F.spark_partition_id(), "__place": place}), "numbered")
+    sizes = d.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # one row per partition
+    offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__offset"))
+    return (d.join(offsets, "__part").withColumn(out, F.col("__offset") + F.col("__place"))
+             .drop("__part", "__place", "__offset"))

@@ -257,10 +257,17 @@ def seasonal_decompose(df: DataFrame, keys: Sequence[str], t: str, value: str,
                   ((F.row_number().over(w) - 1) % period).alias("__phase"),
                   trend.alias("trend"))
     d = d.withColumn("__detr", v - F.col("trend"))
-    phase = d.groupBy(*keys, "__phase").agg(F.avg("__detr").alias("__pm"))
-    phase = phase.withColumn(
-        "seasonal", F.col("__pm") - F.avg("__pm").over(Window.partitionBy(*[_q(k) for k in keys])))
-    out = (d.join(phase.select(*keys, "__phase", "seasonal"), [*keys, "__phase"], "left")
+    # phase means as windows over the series key, on the partitioning of ``w``: the input is read once
+    w_all = Window.partitionBy(*[_q(k) for k in keys])
+    means = [f"__m{p}" for p in range(period)]
+    d = d.withColumns({m: F.avg(F.when(F.col("__phase") == p, F.col("__detr"))).over(w_all)
+                       for p, m in enumerate(means)})
+    total, known = F.lit(0.0), F.lit(0)
+    for m in means:
+        total = total + F.coalesce(F.col(m), F.lit(0.0))
+        known = known + F.col(m).isNotNull().cast("int")
+    own = F.coalesce(*[F.when(F.col("__phase") == p, F.col(m)) for p, m in enumerate(means)])
+    out = (d.withColumn("seasonal", own - total / X.nullif_zero(known))
              .withColumn("resid", v - F.col("trend") - F.col("seasonal")))
     cols = {"trend": F.col("trend"), "seasonal": F.col("seasonal"), "resid": F.col("resid")}
     if digits is not None:

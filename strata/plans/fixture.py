@@ -59,12 +59,23 @@ def monthly_mart(spark, d):
     return M.mart_monthly(monthly_stage(spark, d))
 
 
+def monthly_panel_table(spark, d):
+    """The monthly panel written once to the shared checkpoint folder, for
+    plans that read it more than once: the fact tables are scanned once."""
+    return FE.materialized(P.monthly(spark, d))
+
+
+def quarterly_panel_table(spark, d):
+    """The quarterly panel, likewise written once."""
+    return FE.materialized(P.quarterly(spark, d))
+
+
 def quarterly_mart(spark, d):
-    """Quarterly mart; the fixture threshold is derived from the same panel
-    (a window over geo), so the fact tables are scanned once."""
-    stage = ST.stage_quarterly(P.quarterly(spark, d)).withColumn(
-        "lmia_high_wage_threshold", P.threshold_column())
-    return M.mart_quarterly(stage, None, spec.FIXTURE_AS_OF)
+    """Quarterly mart; the fixture threshold is a dimension aggregated from
+    the stored panel, so the fact tables are scanned once and no window runs
+    on a lone ``geo`` key."""
+    panel = quarterly_panel_table(spark, d)
+    return M.mart_quarterly(ST.stage_quarterly(panel), P.thresholds(spark, d, panel), spec.FIXTURE_AS_OF)
 
 
 def employment_mart(spark, d):
@@ -77,10 +88,18 @@ def quarterly_mart_holed(spark, d):
         F.col("date_parsed") != F.lit(spec.FIXTURE_DROP_QUARTER).cast("date"))
 
 
-def quarterly_mart_holed_table(spark, d):
-    """The holed mart written once to the shared checkpoint folder: panel
-    completion reads its input twice (calendar/labels, then rows)."""
-    return FE.materialized(quarterly_mart_holed(spark, d))
+def quarterly_mart_holed_table(spark, d, *columns: str):
+    """The holed mart, or ``columns`` of it, written once to the shared
+    checkpoint folder: panel completion reads its input twice
+    (calendar/labels, then rows)."""
+    holed = quarterly_mart_holed(spark, d)
+    return FE.materialized(holed.select(*columns) if columns else holed)
+
+
+def quarterly_series_table(spark, d, value: str = spec.VAC):
+    """One measure of every series of the quarterly mart, written once: the
+    diagnostics read it several times and need no other column."""
+    return FE.materialized(quarterly_mart(spark, d).select("geo", "naics", "date_parsed", "year", value))
 
 
 def gap_cleaned(spark, d):

@@ -5,9 +5,10 @@ Plan shape. Group statistics that the original SQL computed in a separate
 aggregate and joined back (yearly averages, yearly percentiles, concentration)
 are window aggregates over the group here: same values, no join. Windows are
 declared so that those sharing a partitioning are adjacent — each mart costs
-one exchange per distinct partitioning, and every partition key is a full
-group key (never a lone ``geo``), so a geo holding a third of all rows is
-still spread over many tasks.
+one exchange per distinct partitioning. The quarterly and employment windows
+partition by a full group key (never a lone ``geo``), so a geo holding a third
+of all rows is still spread over many tasks; the monthly panel has one row per
+geo and month, so there ``geo`` is the series key.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ from strata.operators import ordering as O
 from strata.operators import quality as Q
 from strata.operators import windows as W
 from strata.plans import curate as CU
+from strata.plans import features as FE
 from strata.plans import fixture as FX
+from strata.plans import stage as ST
 from strata.sources import panels as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,7 +179,7 @@ def _(spark, d):
 
 @q("label_encode")
 def _(spark, d):
-    s = FX.quarterly_stage(spark, d)
+    s = ST.stage_quarterly(FX.quarterly_panel_table(spark, d))
     s = C.label_encode(C.label_encode(s, "geo", "geo_encoded"), "naics", "naics_encoded")
     return s.select(*QK, T, "geo_encoded", "naics_encoded")
 
@@ -189,7 +191,7 @@ def _(spark, d):
 
 # ------------------------------------------------------------------ 2.3 joins
 def _monthly_yoy_mom(spark, d):
-    s = FX.monthly_stage(spark, d)
+    s = ST.stage_monthly(FX.monthly_panel_table(spark, d))
     yoy = W.lag_prev_period(s, ["geo"], T, VPK, 12, "prev_year_vacancies_per_1000")
     yoy = C.pct_change(yoy, VPK, "prev_year_vacancies_per_1000", "yoy_change_pct")
     mom = W.lag_prev_period(s, ["geo"], T, VPK, 1, "prev_month_vacancies_per_1000")
@@ -205,7 +207,7 @@ def _(spark, d):
 
 @q("join_group_stats")
 def _(spark, d):
-    s = FX.monthly_stage(spark, d)
+    s = ST.stage_monthly(FX.monthly_panel_table(spark, d))
     stats = A.period_averages(s, ["geo", "year"], [
         ("avg_vacancies_per_1000", "avg", VPK, 2), ("avg_job_vacancy_rate", "avg", "job_vacancy_rate", 2),
         ("total_job_vacancies", "sum", "job_vacancies", None)])
@@ -214,19 +216,21 @@ def _(spark, d):
 
 @q("lookup_dimension")
 def _(spark, d):
-    qd = P.quarterly(spark, d)
-    th = P.thresholds(spark, d, qd).select("geo", "lmia_high_wage_threshold")
-    return J.lookup_dimension(FX.quarterly_stage(spark, d), th, "geo")
+    panel = FX.quarterly_panel_table(spark, d)
+    th = P.thresholds(spark, d, panel).select("geo", "lmia_high_wage_threshold")
+    return J.lookup_dimension(ST.stage_quarterly(panel), th, "geo")
 
 
 @q("drop_series")
 def _(spark, d):
-    return FX.gap_cleaned(spark, d)
+    panel = FE.materialized(_excluded(spark, d, False))
+    bad = A.unreliable_series(A.series_gap_profile(panel, QK, T, VPK), QK)
+    return J.drop_series(panel, bad, QK)
 
 
 @q("missing_periods")
 def _(spark, d):
-    return G.missing_periods(FX.quarterly_mart_holed_table(spark, d), T, spec.FIXTURE_PANEL_START, 3)
+    return G.missing_periods(FX.quarterly_mart_holed_table(spark, d, T), T, spec.FIXTURE_PANEL_START, 3)
 
 
 @q("complete_panel")
@@ -308,17 +312,18 @@ def _(spark, d):
 
 @q("anomaly_rows")
 def _(spark, d):
-    return A.anomaly_rows(FX.quarterly_mart(spark, d), QK, T, VPK, spec.ANOMALY_Z, spec.ANOMALY_MIN_ROWS)
+    return A.anomaly_rows(FX.quarterly_series_table(spark, d), QK, T, VPK, spec.ANOMALY_Z, spec.ANOMALY_MIN_ROWS)
 
 
 @q("anomaly_years")
 def _(spark, d):
-    a = A.anomaly_rows(FX.quarterly_mart(spark, d), QK, T, VPK, spec.ANOMALY_Z, spec.ANOMALY_MIN_ROWS)
+    a = A.anomaly_rows(FX.quarterly_series_table(spark, d), QK, T, VPK, spec.ANOMALY_Z, spec.ANOMALY_MIN_ROWS)
     return A.anomaly_years(a, QK, T)
 
 
-def _excluded(spark, d):
-    full = G.complete_panel(FX.quarterly_mart_holed_table(spark, d), QK, T, spec.FIXTURE_PANEL_START, 3)
+def _excluded(spark, d, narrow=True):
+    columns = (*QK, T, "year", VPK) if narrow else ()
+    full = G.complete_panel(FX.quarterly_mart_holed_table(spark, d, *columns), QK, T, spec.FIXTURE_PANEL_START, 3)
     return C.exclude_members(full, "geo", spec.FIXTURE_EXCLUDE_GEOS)
 
 
@@ -362,7 +367,7 @@ def _(spark, d):
 
 @q("sustained_demand_pct")
 def _(spark, d):
-    s = FX.quarterly_stage(spark, d)
+    s = ST.stage_quarterly(FX.quarterly_panel_table(spark, d))
     p = A.group_percentiles(s, ["geo", "year"], "job_vacancy_rate", {"p75_vacancy_rate": 0.75})
     s = J.join_group_stats(s, p, ["geo", "year"])
     return W.sustained_demand_pct(s, QK, T, "job_vacancy_rate", "p75_vacancy_rate", spec.FIXTURE_AS_OF) \
@@ -424,7 +429,7 @@ def _(spark, d):
 
 @q("topk_per_group")
 def _(spark, d):
-    m = FX.quarterly_mart(spark, d)
+    m = FX.quarterly_series_table(spark, d)
     share = A.missing_share(m, ["geo"], VPK, 10.0).filter("over_threshold").select("geo")
     periods = m.groupBy("geo").agg(F.count_distinct(T).alias("n_periods"))
     per = (m.join(share, "geo", "left_semi").groupBy("geo", "naics")
@@ -453,7 +458,7 @@ def _(spark, d):
 
 @q("period_difference")
 def _(spark, d):
-    m = FX.quarterly_mart_holed_table(spark, d)
+    m = FX.quarterly_mart_holed_table(spark, d, T)
     expected = m.agg(F.max(T).alias("__last")).select(F.explode(F.sequence(
         F.lit(spec.FIXTURE_PANEL_START).cast("date"), F.col("__last"),
         F.make_ym_interval(F.lit(0), F.lit(3)))).alias(T))
@@ -483,7 +488,8 @@ def _(spark, d):
 
 @q("check_row_reconciliation")
 def _(spark, d):
-    return Q.check_row_reconciliation(FX.quarterly_clean(spark, d), FX.quarterly_curated(spark, d), 4)
+    clean = FE.materialized(FX.quarterly_clean(spark, d))
+    return Q.check_row_reconciliation(clean, CU.curate_quarterly(clean), 4)
 
 
 @q("quality_report")

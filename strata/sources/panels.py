@@ -142,17 +142,6 @@ def employment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _employment_agg(spark, sf_dir).drop("salaried_employment")
 
 
-def threshold_column(factor: float = spec.FIXTURE_THRESHOLD_FACTOR) -> Column:
-    """The fixture threshold as a window over the panel's geo (no second scan).
-
-    The window input is the aggregated panel, so a geo's group is bounded by
-    sectors × periods however many fact rows the geo had.
-    """
-    from pyspark.sql import Window
-    return (F.percentile(F.col("avg_offered_hourly_wage"), F.lit(0.5)).over(Window.partitionBy("geo"))
-            * F.lit(factor))
-
-
 def thresholds(spark: SparkSession, sf_dir: str, quarterly_df: DataFrame | None = None) -> DataFrame:
     """Per-geo wage threshold: 1.05 × the geo's median offered wage."""
     q = quarterly_df if quarterly_df is not None else quarterly(spark, sf_dir)

@@ -26,21 +26,40 @@ def test_no_cartesian_and_pruned_scans(spark, key):
         assert not any(c in schema for c in UNUSED_LINEITEM), schema
 
 
+def _panel_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_each_mart_scans_its_fact_table_once(spark):
-    for key, fact in [("mart_quarterly", "lineitem"), ("mart_employment", "lineitem"),
-                      ("mart_monthly", "orders"), ("quality_report", "lineitem")]:
-        plan = _plan(spark, key)
+    from strata.sources import panels as P
+    # mart_quarterly stores its panel first: the panel is the one fact scan
+    for key, fact, plan in [("quarterly panel", "lineitem", _panel_plan(P.quarterly(spark, SF))),
+                            ("mart_employment", "lineitem", _plan(spark, "mart_employment")),
+                            ("mart_monthly", "orders", _plan(spark, "mart_monthly"))]:
         assert len(re.findall(rf"FileScan parquet [^\n]*{fact}\.parquet", plan)) == 1, key
         schemas = re.findall(rf"{fact}\.parquet\][^\n]*ReadSchema: (struct<[^\n]*)", plan)
         assert len(schemas) == 1 and "struct<" in schemas[0]
 
 
-def test_mart_quarterly_shares_one_window_exchange(spark):
+def test_mart_quarterly_windows_never_partition_by_geo_alone(spark):
     plan = _plan(spark, "mart_quarterly")
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert len(exchanges) == 2, exchanges       # fact aggregate + one geo partitioning for all windows
+    assert "lineitem.parquet" not in plan
+    windows = re.findall(r"Window \[[^\n]*", plan)
+    assert windows and not any(re.search(r"\[geo#\d+\](,|$)", w) for w in windows), windows
+    keys = [re.sub(r"#\d+", "", e) for e in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)]
+    assert {"geo, year", "geo, naics", "geo, date_parsed"} <= set(keys), keys
+    assert keys.count("geo") <= 1                                # the threshold aggregate
+
+
+@pytest.mark.parametrize("key", ["missing_by_year", "topk_per_group", "anomaly_rows", "seasonal_decompose",
+                                 "sustained_demand_pct", "lookup_dimension", "label_encode",
+                                 "check_row_reconciliation", "quality_report"])
+def test_diagnostics_do_not_scan_the_fact_table_twice(spark, key):
+    """The stored panel is the only fact scan; what is left reads stored tables."""
+    assert "lineitem.parquet" not in _plan(spark, key)
 
 
-def test_feature_stage_has_no_joins(spark):
+def test_feature_stage_joins_only_label_codes(spark):
     plan = _plan(spark, "ml_features")
-    assert not re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|NestedLoopJoin)", plan)
+    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|NestedLoopJoin)[^\n]*", plan)
+    assert all("__label" in j or "__part" in j for j in joins), joins
