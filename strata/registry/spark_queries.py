@@ -321,6 +321,22 @@ def _(spark, d):
     return A.anomaly_years(a, QK, T)
 
 
+# the same diagnostics over the wage measure
+@q("missing_share_wage")
+def _(spark, d):
+    return A.missing_share(FX.quarterly_mart(spark, d), ["geo"], WAGE, 10.0)
+
+
+@q("missing_by_year_wage")
+def _(spark, d):
+    return A.missing_by_year(FX.quarterly_mart(spark, d), "geo", "naics", T, "year", WAGE, lo=0.1)
+
+
+@q("anomaly_rows_wage")
+def _(spark, d):
+    return A.anomaly_rows(FX.quarterly_series_table(spark, d, WAGE), QK, T, WAGE, 2.0, spec.ANOMALY_MIN_ROWS)
+
+
 def _excluded(spark, d, narrow=True):
     columns = (*QK, T, "year", VPK) if narrow else ()
     full = G.complete_panel(FX.quarterly_mart_holed_table(spark, d, *columns), QK, T, spec.FIXTURE_PANEL_START, 3)
@@ -486,6 +502,22 @@ def _(spark, d):
     return Q.check_accepted_values(FX.quarterly_mart(spark, d), "foreign_accessibility_tier", spec.TIER_LABELS)
 
 
+# the same gates where the tables do break the rule, so that rows come back
+@q("check_unique_key_violations")
+def _(spark, d):
+    return Q.check_unique_key(FX.quarterly_clean(spark, d), ["Date", "GEO"])
+
+
+@q("check_accepted_range_violations")
+def _(spark, d):
+    return Q.check_accepted_range(FX.monthly_mart(spark, d), "yoy_change_pct", -5, 5, True)
+
+
+@q("check_accepted_values_violations")
+def _(spark, d):
+    return Q.check_accepted_values(FX.quarterly_mart(spark, d), "foreign_accessibility_tier", spec.TIER_LABELS[:5])
+
+
 @q("check_row_reconciliation")
 def _(spark, d):
     clean = FE.materialized(FX.quarterly_clean(spark, d))

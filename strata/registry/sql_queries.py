@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata import spec
 from strata.registry.ctes import EXCLUDE, NAICS_COL, RECENT_FROM, START, _interp, _neighbour_cols, cte, with_
 
 TIERS = ("'Insufficient Data', 'High Demand and Sustained, No Wage Data', "
@@ -116,23 +117,40 @@ SQL["period_averages"] = with_("SELECT * FROM geo_years", "geo_years")
 SQL["conditional_sums"] = with_("SELECT * FROM digital_sums", "digital_sums")
 SQL["concentration_pct"] = with_("SELECT * FROM digital_shares", "digital_shares")
 SQL["group_percentiles"] = with_("SELECT * FROM rate_quantiles", "rate_quantiles")
-SQL["missing_share"] = with_(f"""
+
+def _missing_share(v: str) -> str:
+    return with_(f"""
 SELECT geo, n_missing, n_rows, n_missing / n_rows * 100 AS pct_missing, n_missing / n_rows * 100 > 10 AS over_threshold
-FROM (SELECT geo, CAST(count_if({VPK} IS NULL) AS BIGINT) AS n_missing, count(*) AS n_rows FROM mart_quarterly GROUP BY geo) g""",
-                            "mart_quarterly")
-SQL["missing_by_year"] = with_(f"""
+FROM (SELECT geo, CAST(count_if({v} IS NULL) AS BIGINT) AS n_missing, count(*) AS n_rows FROM mart_quarterly GROUP BY geo) g""",
+                 "mart_quarterly")
+
+
+def _missing_by_year(v: str, lo: float) -> str:
+    return with_(f"""
 , periods AS (SELECT count(DISTINCT date_parsed) AS n_periods FROM mart_quarterly),
-grp AS (SELECT geo FROM mart_quarterly GROUP BY geo HAVING CAST(count_if({VPK} IS NULL) AS BIGINT) / count(*) * 100 > 10),
-series AS (SELECT geo, naics, CAST(count_if({VPK} IS NULL) AS BIGINT) AS series_missing FROM mart_quarterly
+grp AS (SELECT geo FROM mart_quarterly GROUP BY geo HAVING CAST(count_if({v} IS NULL) AS BIGINT) / count(*) * 100 > 10),
+series AS (SELECT geo, naics, CAST(count_if({v} IS NULL) AS BIGINT) AS series_missing FROM mart_quarterly
            WHERE geo IN (SELECT geo FROM grp) GROUP BY geo, naics),
-yearly AS (SELECT geo, naics, year, CAST(count_if({VPK} IS NULL) AS BIGINT) AS year_missing FROM mart_quarterly
+yearly AS (SELECT geo, naics, year, CAST(count_if({v} IS NULL) AS BIGINT) AS year_missing FROM mart_quarterly
            WHERE geo IN (SELECT geo FROM grp) GROUP BY geo, naics, year)
 SELECT s.geo, s.naics, s.series_missing, p.n_periods, y.year, y.year_missing
 FROM series s CROSS JOIN periods p JOIN yearly y ON y.geo = s.geo AND y.naics = s.naics
-WHERE s.series_missing >= CAST(0.3 AS DOUBLE) * p.n_periods AND s.series_missing <= CAST(0.5 AS DOUBLE) * p.n_periods
+WHERE s.series_missing >= CAST({lo} AS DOUBLE) * p.n_periods AND s.series_missing <= CAST(0.5 AS DOUBLE) * p.n_periods
 UNION ALL
 SELECT s.geo, s.naics, s.series_missing, p.n_periods, CAST(NULL AS INTEGER), CAST(NULL AS BIGINT)
 FROM series s CROSS JOIN periods p WHERE s.series_missing > CAST(0.5 AS DOUBLE) * p.n_periods""", "mart_quarterly")
+
+
+SQL["missing_share"] = _missing_share(VPK)
+SQL["missing_share_wage"] = _missing_share("avg_offered_hourly_wage")
+SQL["missing_by_year"] = _missing_by_year(VPK, 0.3)
+SQL["missing_by_year_wage"] = _missing_by_year("avg_offered_hourly_wage", 0.1)
+SQL["anomaly_rows_wage"] = with_("""
+SELECT geo, naics, date_parsed, avg_offered_hourly_wage
+FROM mart_quarterly
+JOIN (SELECT geo, naics, avg(avg_offered_hourly_wage) AS m, stddev_samp(avg_offered_hourly_wage) AS sd
+      FROM mart_quarterly GROUP BY geo, naics HAVING count(*) >= 12) s USING (geo, naics)
+WHERE sd > 0 AND abs(avg_offered_hourly_wage - m) > 2 * sd""", "mart_quarterly")
 SQL["anomaly_rows"] = with_("SELECT * FROM anomalies", "anomalies")
 SQL["anomaly_years"] = with_("SELECT DISTINCT geo, naics, CAST(year(date_parsed) AS INTEGER) AS year FROM anomalies", "anomalies")
 SQL["series_gap_profile"] = with_("SELECT * FROM gap_profile", "gap_profile")
@@ -292,3 +310,13 @@ SQL["load_threshold_seed"] = with_("""
 SELECT geo, lmia_high_wage_threshold, '1/10/2001' AS effective_date, DATE '2001-10-01' AS effective_on,
        'derived' AS source FROM thresholds""", "thresholds")
 SQL["materialize"] = with_("SELECT * FROM stage_monthly", "stage_monthly")
+
+# gates on rules that the tables break
+SQL["check_unique_key_violations"] = with_("""
+SELECT Date, GEO, count(*) AS count FROM quarterly_clean GROUP BY Date, GEO HAVING count(*) > 1""", "quarterly_clean")
+SQL["check_accepted_range_violations"] = with_("SELECT * FROM mart_monthly WHERE yoy_change_pct NOT BETWEEN -5 AND 5",
+                                               "mart_monthly")
+SQL["check_accepted_values_violations"] = with_("""
+SELECT * FROM mart_quarterly
+WHERE foreign_accessibility_tier NOT IN (SELECT unnest(['"""
+    + "', '".join(spec.TIER_LABELS[:5]) + """']))""", "mart_quarterly")

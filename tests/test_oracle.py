@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.registry import QUERIES, SQL
 from tools.check_oracle import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -51,13 +52,13 @@ ML_ROWS_ONLY = {"fit_boosted_trees", "predict", "ablation", "permutation_importa
 
 
 def test_inventory_registered():
-    q, s = E.queries(), E.oracle_sql()
-    assert set(s) <= set(q)
+    q, s = QUERIES, SQL
+    assert set(s) <= set(q) <= set(E.queries()) and set(s) <= set(E.oracle_sql())
     assert set(INVENTORY) <= set(q), sorted(set(INVENTORY) - set(q))
     assert set(q) - set(s) == ML_ROWS_ONLY     # everything else has an exact oracle
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, con, key):
     sp = E.queries()[key](spark, SF).toPandas()
     dk = con.execute(E.oracle_sql()[key]).df()
