@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, fuzzy, language_id, minhash_forest, substring_dedup, suffix_dedup, token_store, url_filter, warc
 from .common import table
+from .oracles import SQL as SQL
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_minhash_forest, op3_suffix_dedup, op4_substring_dedup, op5_byte_bpe, op6_piecewise_hash,
                             op7_warc_archives, op8_decontaminate, op9_language_id, op10_token_files)
 }
-
-#: DuckDB SQL of those that SQL can express over whole tables.
-SQL: dict[str, str] = {}
