@@ -573,11 +573,11 @@ def _(spark, d):
 
 
 def _fitted(spark, d, target=VPK):
-    """(model, train rows, test rows) of the registered tree budget."""
+    """(model, train rows, test rows) with the published parameters."""
     s = _split(spark, d, target)
     feats = EV.feature_set(target)
     train = EV.training_frame(s.filter(F.col("split") == "train"), feats, target)
-    model = EV.fit(train, feats, target, spec.QUERY_PARAMS[target])
+    model = EV.fit(train, feats, target, spec.PUBLISHED_PARAMS[target])
     return model, s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
@@ -613,7 +613,7 @@ def _(spark, d):
 def _(spark, d):
     s = _split(spark, d)
     return EV.ablation(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"),
-                       EV.feature_set(VPK), VPK, spec.QUERY_PARAMS[VPK])
+                       EV.feature_set(VPK), VPK, spec.ABLATION_PARAMS[VPK])
 
 
 @q("permutation_importance")
@@ -625,9 +625,8 @@ def _(spark, d):
 @q("random_search")
 def _(spark, d):
     s = _split(spark, d)
-    space = {**spec.SEARCH_SPACE, "n_estimators": (10, 30)}
     return EV.random_search(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"),
-                            EV.feature_set(VPK), VPK, space, spec.QUERY_SEARCH_TRIALS)
+                            EV.feature_set(VPK), VPK, spec.SEARCH_SPACE, spec.QUERY_SEARCH_TRIALS)
 
 
 @q("recursive_forecast")
