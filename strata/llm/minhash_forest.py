@@ -6,18 +6,21 @@ fewer). Documents with equal sets are one node. Each node's signature of
 components. In a sorted order, nodes that share the first ``DEPTH`` components form a
 region; neighbours in it, the ones with the longest common prefix, are candidates.
 
-Candidates are confirmed on the full sets, in three passes, so that a large group of
+Candidates are confirmed on the full sets, in four passes, so that a large group of
 copies never becomes all its pairs:
 
 1. each node's neighbour with the longest common prefix;
 2. the other neighbours that are still in different components;
 3. in regions that still hold several components, all members whose signatures agree
    often enough with one of another component, against each other, inside the region's
-   task. A region of more than ``region`` nodes is searched at a greater depth, as deep as it
-   must be for its parts to be small.
+   task;
+4. the nodes of mixed regions of more than ``region`` nodes, by a prefix-filter join of their
+   full sets: whatever shares one of its rarest shingles with another component is
+   compared with all that such shingles join it to, block by block.
 
-Components are found by contracting edges towards the smaller node id; ids are
-hashes, so the graph shrinks by a constant factor a round whatever its shape.
+Components are found by contracting edges towards the node of smaller rank. Ranks are
+hashes drawn anew each round (neighbours are sorted by id, so ids would make long chains in
+order), so the graph shrinks by a constant factor a round whatever its shape.
 
 Documents without words (null, empty or blank text) have no set and link with
 nothing. Rows that repeat a doc_id are documents of their own. A null doc_id counts as
@@ -45,6 +48,8 @@ SIZE = 96
 FURTHER = 4
 #: Signature agreement from which a pair is confirmed in the later passes: 4.5 standard deviations below PERCENT.
 AGREE = 53
+#: Hash ranges whose counts order the shingles of over-full regions by frequency.
+RANKS = 1 << 18
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(1, 1 << 63, SIZE, dtype=np.uint64) * U64(2) + U64(1)
 _TERMS = _RNG.integers(0, 1 << 63, SIZE, dtype=np.uint64)
@@ -242,9 +247,12 @@ def contract(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is not None:
         fresh = labels.unionByName(fresh.join(labels.select(F.col("label").alias("node")).distinct(), "node", "left_anti"))
     labels, edges = stage(fresh, "labels"), stage(edges.select("a", "b"), "edges")
+    turn = 0
     while edges.limit(1).count():
         both = edges.union(edges.select("b", "a"))
-        step = stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "step")
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("rank"), F.col(c).alias("id"))
+        step = stage(both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["id"].alias("m")), "step")
+        turn += 1
         labels = stage(labels.join(step, labels["label"] == step["a"], "left").select("node", F.coalesce("m", "label").alias("label")), "labels")
         left = edges.join(step.withColumnRenamed("m", "ma"), "a")
         right = left.join(step.select(F.col("a").alias("b"), F.col("m").alias("mb")), "b")
@@ -273,48 +281,87 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return marked.select("a", "b", "p", "q").mapInArrow(tidy(run), "a binary, b binary")
 
 
-def mixed_regions(members: DataFrame, labels: DataFrame, region: int) -> DataFrame:
-    """Members (region, part, deeper, share, node, label) of regions that still hold several components.
-
-    A region of more than ``region`` nodes is cut by its next component, and again, until its parts are
-    small; what agrees in all components of the row is dealt into shares.
-    """
+def mixed_regions(members: DataFrame, labels: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
+    """Members (region, node, label) of regions that still hold several components, and the nodes (node, label) of
+    those among them that have more than ``region`` nodes."""
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    pending = stage(named.select("region", "rest", "node", "label"), "members")
-    parts = []
-    for deeper in range(FURTHER + 1):
-        keyed = pending.withColumn("part", F.shiftright("rest", 16 * (FURTHER - deeper)) if deeper else F.lit(0).cast("long"))
-        sizes = keyed.groupBy("region", "part").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").drop("lo", "hi")
-        mixed = keyed.join(sizes, ["region", "part"])
-        last = deeper == FURTHER
-        share = F.when(F.col("n") > region, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / region))).otherwise(F.lit(0))
-        parts.append((mixed if last else mixed.where(F.col("n") <= region))
-                     .select("region", "part", F.lit(deeper).alias("deeper"), share.cast("long").alias("share"), "node", "label"))
-        if last:
-            break
-        pending = stage(mixed.where(F.col("n") > region).select("region", "rest", "node", "label"), "members")
-        if not pending.limit(1).count():
-            break
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return rows
-
-
-_REGION = ["region", "part", "deeper", "share"]
-
-
-def region_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
-    """Confirmed links (a, b) that join the components within each mixed region.
-
-    Signatures tell which members have a partner in another component worth a look; the full sets of
-    those meet in the region's task, where all intersections across components are one matrix product. Only a
-    spanning set of the links leaves the task.
-    """
-    def labels_of(table: pa.Table) -> np.ndarray:
-        return table.column("label").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    named = stage(named.select("region", "node", "label"), "members")
+    sizes = named.groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").drop("lo", "hi")
+    mixed = named.join(sizes, "region")
+    return mixed.where(F.col("n") <= region).drop("n"), stage(mixed.where(F.col("n") > region).select("node", "label").distinct(), "overfull")
 
-    def promising(table: pa.Table) -> pa.Table:
+
+def rarest_first(full: DataFrame) -> np.ndarray:
+    """How often the shingles of each of RANKS hash ranges occur in the sets: a bounded stand-in for their frequency."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(RANKS, np.int64)
+        for batch in batches:
+            for v in batch.column("shingles"):
+                at, n = np.unique(np.frombuffer(v.as_buffer(), U64) % U64(RANKS), return_counts=True)
+                seen[at.astype(np.int64)] += n
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["at", "n"])
+
+    seen = full.select("shingles").mapInArrow(tidy(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(RANKS, np.int64)
+    out[seen.column("at").to_numpy()] = seen.column("n").to_numpy()
+    return out
+
+
+def prefixes(full: DataFrame) -> DataFrame:
+    """shingle, node, label: of each set so many of its rarest shingles that two alike sets share one of them."""
+    counts = full.sparkSession.sparkContext.broadcast(rarest_first(full))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = counts.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                s = np.frombuffer(batch.column("shingles")[i].as_buffer(), U64)
+                order = np.lexsort((s, seen[(s % U64(RANKS)).astype(np.int64)]))
+                rare = s[order[:len(s) - (len(s) * PERCENT + 99) // 100 + 1]]
+                at = pa.array(np.zeros(len(rare), np.int64))
+                row = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), row.column("node").take(at), row.column("label").take(at)], ["shingle", "node", "label"])
+
+    return full.select("node", "label", "shingles").mapInArrow(tidy(run), "shingle long, node binary, label binary")
+
+
+def overfull_blocks(over: DataFrame, sets: DataFrame, region: int) -> DataFrame:
+    """Members (cluster, one, two, node, label) of block pairs in which all alike nodes of different components meet.
+
+    Alike sets share one of their rarest shingles (a prefix-filter join). Nodes that shingles found in several
+    components join form a cluster; a node without such a shingle is like none of another component. A cluster is
+    dealt into blocks, the large components each into blocks of their own, and every two blocks meet, unless
+    they are of one component.
+    """
+    found = stage(prefixes(over.join(sets, "node")), "prefixes")
+    hubs = found.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("hub")).where("lo != hi").select("shingle", "hub")
+    edges = stage(found.join(hubs, "shingle").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "cluster-edges")
+    clusters = contract(edges, None).select("node", F.col("label").alias("cluster"))
+    named = stage(clusters.join(over, "node"), "clusters")
+    half = max(1, region // 2)
+    of_label = named.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    large = of_label.where(F.col("n") > half).select("cluster", "label", F.ceil(F.col("n") / half).alias("own"))
+    small = of_label.where(F.col("n") <= half).groupBy("cluster").agg(F.ceil(F.sum("n") / half).alias("pooled"))
+    dealt = named.join(large, ["cluster", "label"], "left").join(small, "cluster", "left")
+    share = F.pmod(F.xxhash64("node"), F.coalesce("own", "pooled"))
+    # a block is named by its component if that is large (else empty) and its share
+    dealt = stage(dealt.select("cluster", "node", "label", F.when(F.col("own").isNotNull(), F.col("label")).otherwise(F.lit(b"")).alias("whose"), share.alias("share")), "blocks")
+    block = F.struct("whose", "share")
+    blocks = dealt.select("cluster", block.alias("one")).distinct()
+    pairs = blocks.join(blocks.select("cluster", F.col("one").alias("two")), "cluster").where("one <= two and (one.whose != two.whose or one.whose = X'')")
+    ends = pairs.select("cluster", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    return dealt.withColumn("block", block).join(ends, ["cluster", "block"]).select(
+        F.xxhash64("cluster").alias("cluster"), F.xxhash64("one").alias("one"), F.xxhash64("two").alias("two"), "node", "label")
+
+
+def labels_of(table: pa.Table) -> np.ndarray:
+    return table.column("label").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+
+def promising(members: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame:
+    """The members of mixed regions whose signatures tell of a partner in another component worth a look."""
+    def run(table: pa.Table) -> pa.Table:
         marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SIZE)
         label, keep = labels_of(table), np.zeros(len(marks), bool)
         for i in range(len(marks) - 1):
@@ -324,6 +371,16 @@ def region_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, partitio
             keep[i] |= len(hit) > 0
         return table.drop_columns(["signature"]).filter(pa.array(keep))
 
+    marked = members.join(nodes.select("node", "signature"), "node").select("region", "node", "label", "signature")
+    return stage(marked.repartition(partitions, "region").groupBy("region").applyInArrow(run, "region long, node binary, label binary"), "promising")
+
+
+def group_links(picked: DataFrame, sets: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """Confirmed links (a, b) that join the components within each group ``keys`` of ``picked`` (keys, node, label).
+
+    The full sets meet in the group's task, where all intersections across components are one matrix product.
+    Only a spanning set of the links leaves the task.
+    """
     def links(table: pa.Table) -> pa.Table:
         label, found = labels_of(table), [np.frombuffer(v.as_buffer(), U64) for v in table.column("shingles").combine_chunks()]
         sizes = np.array([len(f) for f in found], np.int64)
@@ -351,11 +408,8 @@ def region_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, partitio
         moved = np.flatnonzero(label != label[root])
         return pa.table({"a": node.take(pa.array(moved)), "b": node.take(pa.array(root[moved]))})
 
-    typed = "region long, part long, deeper int, share long, node binary, label binary"
-    marked = members.join(nodes.select("node", "signature"), "node").select(*_REGION, "node", "label", "signature")
-    picked = stage(marked.repartition(partitions, *_REGION).groupBy(*_REGION).applyInArrow(promising, typed), "promising")
-    full = picked.join(sets, "node").select(*_REGION, "node", "label", "shingles")
-    return full.repartition(partitions, *_REGION).groupBy(*_REGION).applyInArrow(links, "a binary, b binary").distinct()
+    full = picked.join(sets, "node").select(*keys, "node", "label", "shingles")
+    return full.repartition(partitions, *keys).groupBy(*keys).applyInArrow(links, "a binary, b binary").distinct()
 
 
 def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region: int = 1000) -> DataFrame:
@@ -374,8 +428,11 @@ def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region:
     rest = across(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels)
     second = stage(alike(rest, nodes), "second")
     labels = _merge(confirm(second, sets), labels)
-    mixed = mixed_regions(members, labels, region)
-    labels = _merge(region_links(mixed, nodes, sets, partitions), labels)
+    mixed, over = mixed_regions(members, labels, region)
+    labels = _merge(group_links(promising(mixed, nodes, partitions), sets, ["region"], partitions), labels)
+    if over.limit(1).count():
+        over = over.select("node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labels = _merge(group_links(overfull_blocks(over, sets, region), sets, ["cluster", "one", "two"], partitions), labels)
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
     of_node = named.join(least, "label").select("node", "component_id")

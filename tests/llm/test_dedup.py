@@ -89,6 +89,17 @@ def test_components_match_brute_force(odd_docs, odd_rows, region):
     assert Counter(map(tuple, got.collect())) == brute_components(odd_rows)
 
 
+def test_one_link_between_two_large_components(spark):
+    common, size = " ".join(f"c{i}" for i in range(63)), 1300
+    tails = [" ".join(f"{side}{i}" for i in range(10)) for side in "xy"]
+    texts = [f"{side}first{i} {common} {tail}" for side, tail in zip("xy", tails, strict=True) for i in range(size)]
+    texts += [f"{word} {common} {tail}" for word in ("link",) for tail in tails]  # 60 of 80 shingles shared, all other pairs across 59 of 81
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["component_id"] for r in minhash_forest.components(docs).collect()} == {0}
+    apart = minhash_forest.components(docs.where(f"doc_id < {2 * size}")).groupBy("component_id").count().collect()
+    assert sorted(map(tuple, apart)) == [(0, size), (size, size)]
+
+
 def test_components_of_nothing(no_docs):
     assert minhash_forest.components(no_docs).count() == 0
 
