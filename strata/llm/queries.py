@@ -50,7 +50,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.store_and_read(table(spark, sf_dir, "documents"))
+    return token_store.store_and_read(table(spark, sf_dir, "documents"), added=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -46,10 +46,16 @@ RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 class Tokens:
-    """The tokenizers library over pre-tokens; special-token strings in a text are ordinary text."""
+    """The tokenizers library over pre-tokens.
+
+    The file's added tokens in a text are ordinary text, or with ``added`` get their own ids, as the library does
+    unless its ``encode_special_tokens`` is set.
+    """
 
     def __init__(self, path: str, pattern: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import re
+
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -60,6 +66,11 @@ class Tokens:
         self.chars = dict(enumerate(byte_characters()))
         if not set(shown) <= set(self.chars.values()):
             raise ValueError("byte-level characters differ from the library's")
+        known = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in known.values()):
+            raise ValueError("added tokens that take spaces or need word boundaries are not supported")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in known.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         self.pieces = PieceEncoder(regex.compile(pattern).findall, self._many)
 
     def _many(self, tokens: list[str]) -> list[bytes]:
@@ -70,8 +81,13 @@ class Tokens:
     def level(self, token: str) -> str:
         return token.encode().decode("latin-1").translate(self.chars)
 
-    def encode(self, texts: pa.Array) -> pa.Array:
-        return self.pieces.encode(texts)
+    def encode(self, texts: pa.Array, added: bool = False) -> pa.Array:
+        strings = texts.to_pylist() if added and self.cut else []
+        if not any(a in t for t in strings if t for a in self.added):
+            return self.pieces.encode(texts)
+        parts = [self.cut(t or "") for t in strings]  # every second part is an added token
+        coded = iter(self.pieces.encode(pa.array([q for p in parts for q in p[::2]], pa.string())).to_pylist())
+        return pa.array([b"".join(self.added[q] if k % 2 else next(coded) for k, q in enumerate(p)) for p in parts], pa.large_binary())
 
 
 _TOKENS: dict[tuple[str, str], Tokens] = {}
@@ -212,8 +228,11 @@ class Reader:
 
 def write_ids(docs: DataFrame, folder: str, partitions: int | None = None, path: str = VOCABULARY,
               pattern: str = public_tokenizers.PATTERN, end_id: int = 0, block: int = 1 << 16,
-              planes: str = "byte", level: int = 3) -> DataFrame:
-    """Encode doc_id, text rows and write them to ``folder``; returns the staged manifest, one row per file."""
+              planes: str = "byte", level: int = 3, added: bool = False) -> DataFrame:
+    """Encode doc_id, text rows and write them to ``folder``; returns the staged manifest, one row per file.
+
+    With ``added``, strings of the vocabulary's added tokens in a text get those tokens' ids.
+    """
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -223,7 +242,7 @@ def write_ids(docs: DataFrame, folder: str, partitions: int | None = None, path:
         for batch in batches:
             for some in slices(batch, "text"):
                 writer = writer or Writer(uri, block, planes, level)
-                flat, ends = id_values(coder.encode(some.column("text")))
+                flat, ends = id_values(coder.encode(some.column("text"), added))
                 ids = some.column("doc_id")
                 writer.add(ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False),
                            np.diff(ends, prepend=0) + 1, np.insert(flat, ends, end_id))

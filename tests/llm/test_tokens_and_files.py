@@ -89,6 +89,20 @@ def test_token_files(spark, odd_docs, odd_rows, library_ids, tmp_path, planes):
     assert sum(len(reader.block(k)) for k in reversed(range(len(reader.footer["blocks"])))) == int(reader.documents()[2].sum())
 
 
+def test_token_query_equals_the_library_on_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from strata.llm.queries import op10_token_files
+    end = "<|endoftext|>"
+    texts = [end, f"one {end} two", f"{end}{end} ", f"a<|endof{end}text|>b", f"  {end}\n\n x", "plain text", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    encode = Tokenizer.from_file(token_store.VOCABULARY).encode
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in op10_token_files(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
 def test_token_files_of_nothing(no_docs):
     assert token_store.store_and_read(no_docs).count() == 0
 
