@@ -91,18 +91,20 @@ def with_suffix(df: DataFrame, statistics: DataFrame, default: float) -> DataFra
 def train(labelled: DataFrame, max_rows: int = MAX_TRAINING, trees: int = 20, depth: int = 4, seed: int = 11):
     """(model or None, suffix statistics, share blocked) from lexical rows with ``url`` and ``label`` (1 is block).
 
-    Suffix statistics cover every labelled url; the trees see a sample of about ``max_rows``, chosen by a hash of the url.
+    Suffix statistics cover every labelled url; the trees see a sample of about ``max_rows`` distinct urls, chosen by a
+    hash of the url and weighted by their rows.
     """
     totals = labelled.agg(F.count("*").alias("n"), F.avg("label").alias("rate")).first()
     n, rate = totals["n"], totals["rate"]
     if not n or rate in (0.0, 1.0):
         return None, None, rate or 0.0
     statistics = stage(suffix_statistics(labelled, rate), "suffix-statistics")
-    share = min(1.0, max_rows / n)
+    distinct = stage(labelled.groupBy("url", "label").agg(F.count("*").cast("double").alias("weight"), *[F.first(c).alias(c) for c in labelled.columns if c in {*FEATURES, "suffix"}]), "url-distinct")
+    share = min(1.0, max_rows / distinct.count())
     rank = F.pmod(F.xxhash64(F.coalesce("url", F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = stage(with_suffix(labelled.where(rank < share), statistics, rate).select("label", *FEATURES), "url-training")
+    sample = stage(with_suffix(distinct.where(rank < share), statistics, rate).select("label", "weight", *FEATURES), "url-training")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.coalesce(1))
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features").fit(vectors)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features", weightCol="weight").fit(vectors)
     return model, statistics, rate
 
 

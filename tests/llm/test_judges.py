@@ -57,6 +57,18 @@ def test_trees_learn_the_labels(spark):
     assert model.transform(held).where("prediction = label").count() > 0.95 * held.count()
 
 
+def test_training_sample_is_bounded_whatever_the_copies(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    pages = [(i, "http://x.example.com/en/" if i % 3 else f"http://x.net/es/{i}", int(i % 3 == 0)) for i in range(900)]
+    df = spark.createDataFrame(pages, "page_id long, url string, label int")
+    host, path = url_filter.host_and_path(df["url"])
+    rows, seen, old = url_filter.lexical(df.withColumns({"host": host, "path": path})), [], url_filter.stage
+    monkeypatch.setattr(url_filter, "stage", lambda made, name: seen.append((name, old(made, name))) or seen[-1][1])
+    assert url_filter.train(rows, max_rows=1000, trees=1)[2] == 300 / 900
+    sample = dict(seen)["url-training"]
+    assert sample.count() == 301 and sample.agg(F.sum("weight")).first()[0] == 900
+
+
 @pytest.mark.parametrize("block_words", [250_000, 40])
 def test_decontamination(spark, odd_docs, odd_rows, block_words):
     items = [(1, " ".join(odd_rows[0][1].split()[:30])), (2, "One"), (10, None), (11, ""), (None, " ".join(odd_rows[9][1].split()[5:40])), (2, "one"), (12, odd_rows[-3][1][:4000])]
