@@ -6,13 +6,13 @@ columns of their input (``n_chars``, where present, follows the text); other col
 pass through whatever their names.
 
 1. language_id: documents without a letter, or whose best language is less likely than ``MIN_SCORE``, go.
-2. near_dedup: of each component of near-duplicates the document with the smallest doc_id stays.
+2. near_dedup: of each component of near-duplicates one row stays, the one with the smallest doc_id (ties by a digest of the text).
 3. suffix_dedup: bytes of 200-byte strings that occur more than once are removed from the texts; rows stay.
 4. decontaminate: documents that the contamination rule marks go.
 5. byte_bpe: the texts' token ids, with digests of the ids and of the decoded bytes.
 
-Null text has no letter, so such rows go in the first stage. Documents with a null
-doc_id stay in near_dedup unless a document with an id is like them.
+Null text has no letter, so such rows go in the first stage. In near_dedup
+a null doc_id comes after all others: of a component of null ids only, one row stays.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontaminate, language_id, minhash_forest, suffix_dedup
-from strata.llm.common import delete_folders, made_folders, stage_path, table
+from strata.llm.common import delete_folders, made_folders, stage, stage_path, table
 
 #: A document stays if its best language has at least this probability.
 MIN_SCORE = 0.3
@@ -71,9 +71,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 @_own_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: keep one document of each component."""
-    judged = minhash_forest.components(docs)
-    stays = judged.where(F.col("kept") | F.col("component_id").isNull()).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    plain, back = _plain(docs)
+    keyed = plain.withColumn("_key", F.unhex(F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))))
+    judged = minhash_forest.components(keyed, row="_key").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_row"), "label")
+    rows = judged.groupBy("label", "_id", "_row").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "_row", "n"))
+    stays = stage(rows.where("label is not null").groupBy("label").agg(least.alias("r")).select("r._id", "r._row", "r.n")
+                  .unionByName(rows.where("label is null").select("_id", "_row", F.lit(1).cast("long").alias("n"))), "near-dedup-rows")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_row"))
+    out = keyed.join(stays.where("n = 1"), same, "left_semi")
+    repeated = stays.where("n > 1")
+    if repeated.limit(1).count():
+        out = out.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"]))
+    under = {c: k for k, c in back.items()}
+    return out.select(*[F.col(under.get(c, c)).alias(c) for c in docs.columns])
 
 
 @_own_stage

@@ -91,8 +91,8 @@ def set_key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def describe(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, node (null without words) and signature of every document."""
+def describe(docs: DataFrame, text: str = "text", doc: str = "doc_id", row: str | None = None) -> DataFrame:
+    """doc_id, row (the binary column of that name, or null), n_shingles, node (null without words) and signature of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
@@ -102,11 +102,12 @@ def describe(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFr
                     sizes.append(len(s))
                     keys.append(set_key(s) if len(s) else None)
                     marks.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary())],
-                                             ["doc_id", "n_shingles", "node", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary())],
+                                             ["doc_id", "row", "n_shingles", "node", "signature"])
 
-    slim = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(tidy(run), "doc_id long, n_shingles long, node binary, signature binary")
+    key = (F.col(row) if row else F.lit(None)).cast("binary").alias("row")
+    slim = docs.select(F.col(doc).cast("long").alias("doc_id"), key, F.col(text).cast("string").alias("text"))
+    return slim.mapInArrow(tidy(run), "doc_id long, row binary, n_shingles long, node binary, signature binary")
 
 
 def forest_rows(nodes: DataFrame) -> DataFrame:
@@ -412,10 +413,10 @@ def group_links(picked: DataFrame, sets: DataFrame, keys: list[str], partitions:
     return full.repartition(partitions, *keys).groupBy(*keys).applyInArrow(links, "a binary, b binary").distinct()
 
 
-def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region: int = 1000) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region: int = 1000, row: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document; with ``row`` also that column and the component's label (null without words)."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    described = stage(describe(docs, text, doc), "described")
+    described = stage(describe(docs, text, doc, row), "described")
     nodes = stage(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature")), "nodes")
     pairs, members = sorted_neighbours(forest_rows(nodes), partitions)
     pairs, members = stage(pairs, "pairs"), stage(members, "members")
@@ -435,10 +436,11 @@ def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region:
         labels = _merge(group_links(overfull_blocks(over, sets, region), sets, ["cluster", "one", "two"], partitions), labels)
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
-    of_node = named.join(least, "label").select("node", "component_id")
+    of_node = named.join(least, "label").select("node", "label", "component_id")
     out = described.drop("signature").join(of_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+                      *([F.col("row").alias(row), "label"] if row else []))
 
 
 def _merge(links: DataFrame, labels: DataFrame) -> DataFrame:

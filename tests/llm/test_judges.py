@@ -155,3 +155,14 @@ def test_pipeline(spark, tmp_path):
         none = all_docs.limit(0)
         made = stage(spark, none, str(tmp_path))
         assert made.columns == none.columns and made.count() == 0, name
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark, tmp_path):
+    words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcde"]
+    rows = [(1, words[0], 0), (1, words[0], 0), (1, words[0] + " z", 1), (None, words[0], 2), (2, words[1], 0), (2, words[2], 0),
+            (None, words[3], 0), (None, words[3], 1), (None, words[4], 0), (5, words[4], 0), (6, "", 0), (6, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `n.x` int")
+    out = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"][:2]) for r in out.collect()), key=str)
+    assert found == sorted([(1, "a0"), (2, "b0"), (2, "c0"), (None, "d0"), (5, "e0"), (6, ""), (6, "")], key=str)
