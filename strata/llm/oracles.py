@@ -82,9 +82,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
+HARD_NEGATIVES = """
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+         [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+scores AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r) AS rank
+  FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5"""
+
 SQL: dict[str, str] = {
     "op2_minhash_forest": MINHASH_FOREST,
     "op3_suffix_dedup": SUFFIX_DEDUP,
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op8_decontaminate": DECONTAMINATE,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

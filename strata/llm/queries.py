@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fuzzy, language_id, minhash_forest, substring_dedup, suffix_dedup, token_store, url_filter, warc
+from . import (bpe, decontaminate, fuzzy, hard_negatives, language_id, minhash_forest, mixing, substring_dedup, suffix_dedup, token_store,
+               url_filter, warc, whitening)
 from .common import table
 from .oracles import SQL as SQL
 
@@ -53,7 +54,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_and_read(table(spark, sf_dir, "documents"), added=True)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_minhash_forest, op3_suffix_dedup, op4_substring_dedup, op5_byte_bpe, op6_piecewise_hash,
-                            op7_warc_archives, op8_decontaminate, op9_language_id, op10_token_files)
+                            op7_warc_archives, op8_decontaminate, op9_language_id, op10_token_files, op11_hard_negatives, op12_source_mixture, op13_whitening)
 }

@@ -19,7 +19,7 @@ def _rows(pdf):
 
 def _duck(key, folder):
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/*.parquet')"
                     if os.path.isdir(f"{folder}/{name}.parquet")
                     else f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
@@ -43,9 +43,11 @@ def test_odd_rows(spark, key, odd_rows, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     items = [(1, passage), (2, "123 456"), (3, None), (4, ""), (5, texts[0]), (12, "ONE")]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, [i % 7 / 8, i % 5 / 9 if i % 50 else None, 0.25], i % 4 if i % 33 else None) for i in range(450)],
+                          "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     want = _duck(key, str(tmp_path))
     got = QUERIES[key](spark, str(tmp_path)).select(*want.columns).toPandas()
-    assert len(got) == len(texts) and _rows(got) == _rows(want)
+    assert (len(got) == len(texts) or "doc_id" not in got) and _rows(got) == _rows(want)
 
 
 def test_empty_text_digest():
