@@ -7,16 +7,16 @@ handful) are collected, to build result tables.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import spec
+from strata.forecasting import boosting as B
 from strata.forecasting import models as MD
+from strata.forecasting.search import search
 from strata.functions.expressions import nullif_zero
 from strata.operators.ordering import numbered
 from strata.session import cut_lineage
@@ -89,58 +89,38 @@ def rmse_reduction_pct(model_rmse: float, baseline_rmse: float) -> float:
 
 
 # ------------------------------------------------------------- training data
-def training_frame(df: DataFrame, features: Sequence[str], target: str, partitions: int = 4,
-                   keys: Sequence[str] = ("geo", "naics")) -> DataFrame:
-    """Rows with a known target, features typed, missing flags added, written once to the
-    checkpoint folder and hash-partitioned by series.
-
-    Boosting makes one pass per tree. ``partitions`` is the parallelism of each pass and is the
-    caller's choice: with a row fraction below 1 the sampled rows depend on it, so it is
-    never derived from the size of the data.
-    """
-    d = cut_lineage(MD.with_missing_indicators(df.filter(F.col(target).isNotNull()), features), "train")
-    return d.repartition(partitions, *[k for k in keys if k in d.columns])
+def training_frame(df: DataFrame, features: Sequence[str], target: str, max_bins: int = B.MAX_BINS) -> B.Frame:
+    """The rows with a known target, binned and stored once; every fit on them reads only bin numbers."""
+    return B.prepare(df, features, target, max_bins)
 
 
-def fit(train: DataFrame, features: Sequence[str], target: str, params: Mapping | None = None,
-        seed: int = 0):
-    """Fit on an already prepared ``training_frame`` (no re-preparation)."""
-    return MD.build_pipeline(features, target, params, seed).fit(train)
+def fit(train: B.Frame, params: Mapping | None = None, seed: int = 0) -> B.Model:
+    """Fit one model on an already prepared frame."""
+    return B.fit_one(train, params, seed)
 
 
-def rmse_of(model, df: DataFrame, features: Sequence[str], target: str) -> float:
-    scored = MD.predict(model, df, features)
+def rmse_of(model: B.Model, df: DataFrame, target: str) -> float:
+    scored = MD.predict(model, df)
     r = forecast_metrics(scored, target, "prediction", (), None).select("rmse").first()
     return float(r["rmse"]) if r and r["rmse"] is not None else float("nan")
 
 
-def _parallel(fn, items, parallelism: int):
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        return list(ex.map(fn, items))
-
-
 def ablation(train: DataFrame, valid: DataFrame, features: Sequence[str], target: str,
-             params: Mapping | None = None, parallelism: int = 4) -> DataFrame:
+             params: Mapping | None = None, seed: int = 0, frame_bytes: int = B.FRAME_BYTES) -> DataFrame:
     """Drop one feature, refit, ΔRMSE = baseline − ablated on ``valid``.
 
-    Negative ΔRMSE means removing the feature hurt (the feature helped).
-    Fits are independent Spark jobs submitted from a thread pool.
+    Negative ΔRMSE means removing the feature hurt (the feature helped). The model with all features and those
+    without one are grown side by side on the same bins, each with the whole number of trees.
     """
-    spark = train.sparkSession
     feats = list(features)
-    tr = training_frame(train, feats, target)
-    va = cut_lineage(MD.with_missing_indicators(valid.filter(F.col(target).isNotNull()), feats), "valid")
-
-    def run(drop):
-        keep = [f for f in feats if f != drop]
-        m = fit(tr, keep, target, params)
-        return drop, rmse_of(m, va, keep, target)
-
-    results = dict(_parallel(run, [None] + feats, parallelism))
-    base = results.pop(None)
-    rows = [(f, base, r, base - r) for f, r in results.items()]
-    schema = "feature string, baseline_rmse double, ablated_rmse double, rmse_diff double"
-    return spark.createDataFrame(rows, schema)
+    frame = training_frame(train, feats, target)
+    p = B.full_params(params)
+    columns = range(len(feats))
+    jobs = [B.Job(p, list(columns), seed)] + [B.Job(p, [c for c in columns if c != d], seed) for d in columns]
+    fits = B.fit_many(frame, jobs, B.like(frame, valid, target), every=max(1, p["n_estimators"]), forests=False, frame_bytes=frame_bytes)
+    base, *rest = [curve[-1] if curve else float("nan") for _, curve, _ in fits]
+    rows = [(f, base, r, base - r, trees) for f, r, (_, _, trees) in zip(feats, rest, fits[1:], strict=True)]
+    return train.sparkSession.createDataFrame(rows, "feature string, baseline_rmse double, ablated_rmse double, rmse_diff double, trees int")
 
 
 def permutation_importance(model, test: DataFrame, features: Sequence[str], target: str,
@@ -155,7 +135,7 @@ def permutation_importance(model, test: DataFrame, features: Sequence[str], targ
     feats = list(features)
     spark = test.sparkSession
     base_rows = cut_lineage(test.filter(F.col(target).isNotNull()), "perm-test")
-    base_rmse = rmse_of(model, base_rows, feats, target)
+    base_rmse = rmse_of(model, base_rows, target)
     n = base_rows.count()
     content = sorted(base_rows.columns)
     rid = F.xxhash64(*[F.col(c).cast("string") for c in content])
@@ -169,7 +149,7 @@ def permutation_importance(model, test: DataFrame, features: Sequence[str], targ
     permuted = rows.join(donors, "__pos")
     permuted = permuted.withColumns({f: F.when(F.col("__feat") == f, F.col("__pval")).otherwise(F.col(f))
                                      for f in feats})
-    scored = MD.predict(model, permuted.drop("__pval", "__pos"), feats)
+    scored = MD.predict(model, permuted.drop("__pval", "__pos"))
     per_copy = forecast_metrics(scored, target, "prediction", ["__feat", "__rep"], None)
     inc = per_copy.withColumn("increase", F.col("rmse") - F.lit(base_rmse))
     return (inc.groupBy(F.col("__feat").alias("feature"))
@@ -179,41 +159,25 @@ def permutation_importance(model, test: DataFrame, features: Sequence[str], targ
                .withColumn("baseline_rmse", F.lit(base_rmse)))
 
 
-def draw_params(space: Mapping[str, tuple], n: int, seed: int = 0) -> list[dict]:
-    """Seeded random draws in the search ranges (ints stay ints)."""
-    rng = np.random.RandomState(seed)
-    out = []
-    for _ in range(n):
-        p = {}
-        for k, (lo, hi) in space.items():
-            p[k] = int(rng.randint(lo, hi + 1)) if isinstance(lo, int) and isinstance(hi, int) \
-                else float(rng.uniform(lo, hi))
-        out.append(p)
-    return out
-
-
 def random_search(train: DataFrame, valid: DataFrame, features: Sequence[str], target: str,
-                  space: Mapping[str, tuple], n_trials: int, seed: int = 0,
-                  parallelism: int = 4) -> DataFrame:
-    """Seeded random search minimising RMSE on the *temporal* validation slice.
+                  space: Mapping[str, tuple] = spec.SEARCH_SPACE, n_trials: int = spec.PUBLISHED_SEARCH_TRIALS, seed: int = 0,
+                  round_size: int = 25, every: int = 25, frame_bytes: int = B.FRAME_BYTES) -> DataFrame:
+    """Search for the parameters with the smallest RMSE on the *temporal* validation slice.
 
-    Trials are independent fits submitted concurrently; the result table has
-    one row per trial (parameters and validation RMSE), best first.
+    Draws are guided by earlier trials and bad trials are stopped early (see ``search``). One row per trial, finished
+    ones first: its parameters, validation RMSE (where it stopped), number of trees and whether it was pruned.
     """
-    spark = train.sparkSession
     feats = list(features)
-    tr = training_frame(train, feats, target)
-    va = cut_lineage(MD.with_missing_indicators(valid.filter(F.col(target).isNotNull()), feats), "valid")
-    draws = draw_params(space, n_trials, seed)
+    frame = training_frame(train, feats, target)
+    held = B.like(frame, valid, target)
 
-    def run(i):
-        m = fit(tr, feats, target, draws[i], seed)
-        return i, rmse_of(m, va, feats, target)
+    def run(trials):
+        jobs = [B.Job(p, list(range(len(feats))), seed, limits) for p, limits in trials]
+        return [(curve, trees) for _, curve, trees in B.fit_many(frame, jobs, held, every, forests=False, frame_bytes=frame_bytes)]
 
-    res = _parallel(run, range(n_trials), parallelism)
+    trials = search(run, space, n_trials, seed, round_size, uniform=round_size)
     keys = sorted(space)
-    rows = [(i, *[float(draws[i][k]) for k in keys], r) for i, r in res]
-    schema = T.StructType([T.StructField("trial", T.IntegerType())] +
-                          [T.StructField(k, T.DoubleType()) for k in keys] +
-                          [T.StructField("val_rmse", T.DoubleType())])
-    return spark.createDataFrame(rows, schema).orderBy("val_rmse", "trial")
+    rows = [(t.number, *[float(t.params[k]) for k in keys], t.rmse, t.trees, t.pruned) for t in trials]
+    schema = T.StructType([T.StructField("trial", T.IntegerType())] + [T.StructField(k, T.DoubleType()) for k in keys] +
+                          [T.StructField("val_rmse", T.DoubleType()), T.StructField("trees", T.IntegerType()), T.StructField("pruned", T.BooleanType())])
+    return train.sparkSession.createDataFrame(rows, schema).orderBy("pruned", "val_rmse", "trial")

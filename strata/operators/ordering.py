@@ -73,3 +73,26 @@ def numbered(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
     offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__offset"))
     return (d.join(offsets, "__part").withColumn(out, F.col("__offset") + F.col("__place"))
              .drop("__part", "__place", "__offset"))
+
+
+def running_sums(df: DataFrame, within: Sequence[str], by: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Add ``before_<c>``: the sum of ``c`` over the earlier rows of the same group, in the order of ``by``.
+
+    Rows are range-partitioned by (group, order) and stored once, so a group may fill many partitions. Sums run inside
+    a partition's share of a group, then over the shares of a group: one row per partition and group.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*within, *by]
+    d = cut_lineage(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumns(
+        {"__row": F.monotonically_increasing_id(), "__part": F.spark_partition_id()}), "running")
+    inside = Window.partitionBy("__part", *within).orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shares = d.groupBy("__part", *within).agg(*[F.sum(c).alias(c) for c in sums])
+    starts = shares.select(F.col("__part").alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(within)],
+                           *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"__s{i}") for i, c in enumerate(sums)])
+    same = F.col("__part") == F.col("__p")
+    for i, k in enumerate(within):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    out = d.withColumns({f"before_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}).join(starts, same)
+    out = out.withColumns({f"before_{c}": F.col(f"before_{c}") + F.col(f"__s{i}") for i, c in enumerate(sums)})
+    return out.drop("__row", "__part", "__p", *[f"__k{i}" for i in range(len(within))], *[f"__s{i}" for i in range(len(sums))])

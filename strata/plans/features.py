@@ -56,6 +56,12 @@ def add_shared_features(df: DataFrame, flag_windows: Mapping[str, tuple[str, str
     return C.label_encode(df, "naics", "naics_encoded")
 
 
+def feature_columns() -> list[str]:
+    """Every feature that ``ml_features`` offers to a model, in the order of its columns."""
+    targets = [f"{t}_{kind}{n}" for t in (spec.VAC, spec.WAGE) for kind, many in (("lag", spec.LAGS), ("roll", spec.ROLLS)) for n in many]
+    return [*targets, "quarter", "quarter_sin", "quarter_cos", *spec.EVENT_WINDOWS, "geo_encoded", "naics_encoded"]
+
+
 def ml_features(mart: DataFrame, start: str, exclude_geos: Sequence[str],
                 flag_windows: Mapping[str, tuple[str, str]],
                 limit: int = spec.INTERPOLATION_LIMIT) -> DataFrame:

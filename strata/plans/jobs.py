@@ -110,21 +110,27 @@ def marts_job(spark: SparkSession, tables: Mapping[str, str], thresholds: DataFr
 
 def forecast_job(spark: SparkSession, mart_table: str, schema: str, start: str, cutoff: str,
                  exclude_geos=spec.EXCLUDE_GEOS, flag_windows: Mapping | None = None,
-                 params: Mapping | None = None, model_dir: str | None = None) -> dict[str, str]:
+                 params: Mapping | None = None, model_dir: str | None = None, val_cutoff: str | None = None,
+                 search_trials: int = 0, diagnostics: bool = False) -> dict[str, str]:
     """Feature table, one model per target (evaluated on the temporal test
     slice against the naive baselines, refitted on all rows), recursive
     predictions and the run log, all saved as tables.
 
     ``flag_windows`` defaults to the published event windows. Runs are appended to the log.
+    With ``search_trials`` the parameters are searched on the rows between ``val_cutoff`` and ``cutoff``
+    (trials saved as a table) instead of taken from ``params``; ``diagnostics`` adds tables of the ablation on the same
+    slice, the permutation importance on the test rows, and each row's feature attributions.
     The fitted models are saved under ``model_dir`` (a shared folder) where one is given."""
     import uuid
 
+    from strata.forecasting import boosting as B
     from strata.forecasting import evaluate as EV
     from strata.forecasting import models as MD
-    from strata.forecasting.models import tree_summary
     from strata.forecasting.recursive import recursive_forecast
     from strata.forecasting.runlog import append_run_log, run_log, save_predictions
 
+    if (search_trials or diagnostics) and val_cutoff is None:
+        raise ValueError("search_trials and diagnostics need val_cutoff")
     feats = FE.ml_features(FE.materialized(spark.table(mart_table)), start, exclude_geos,
                            spec.EVENT_WINDOWS if flag_windows is None else flag_windows)
     ftable = f"{schema}.ml_quarterly_features"
@@ -133,27 +139,53 @@ def forecast_job(spark: SparkSession, mart_table: str, schema: str, start: str,
     out = {"features": ftable}
     logs = None
     for target in (spec.VAC, spec.WAGE):
+        short = "vacancies" if target == spec.VAC else "wage"
         fs = EV.feature_set(target)
-        p = (params or spec.PUBLISHED_PARAMS)[target]
-        split = EV.temporal_split(feats, "date_parsed", target, cutoff, cutoff)
+        split = EV.temporal_split(feats, "date_parsed", target, cutoff, val_cutoff or cutoff)
         train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
-        model = EV.fit(EV.training_frame(train, fs, target), fs, target, p)
-        of_train = EV.forecast_metrics(MD.predict(model, train, fs), target, "prediction", (), None).first().asDict()
-        test_rmse = EV.rmse_of(model, test, fs, target)
+        fitting, validating = train.filter("tuning = 'fit'"), train.filter("tuning = 'validate'")
+        val_rmse = None
+        if search_trials:
+            out[f"search_{target}"] = f"{schema}.search_{short}"
+            io.save_table(EV.random_search(fitting, validating, fs, target, n_trials=search_trials), out[f"search_{target}"])
+            best = spark.table(out[f"search_{target}"]).orderBy("pruned", "val_rmse", "trial").first().asDict()
+            p, val_rmse = {k: int(best[k]) if isinstance(spec.SEARCH_SPACE[k][0], int) else best[k] for k in spec.SEARCH_SPACE}, best["val_rmse"]
+        else:
+            p = (params or spec.PUBLISHED_PARAMS)[target]
+            if val_cutoff:
+                frame = EV.training_frame(fitting, fs, target)
+                job = B.Job(p, list(range(len(fs))))
+                curve = B.fit_many(frame, [job], B.like(frame, validating, target), max(1, int(job.params["n_estimators"])), forests=False)[0][1]
+                val_rmse = curve[-1] if curve else None
+        model = EV.fit(EV.training_frame(train, fs, target), p)
+        scores = {name: EV.forecast_metrics(MD.predict(model, rows), target, "prediction", (), None).first().asDict()
+                  for name, rows in (("train", train), ("test", test))}
         naive = {r.predictor: r.rmse for r in
                  EV.naive_baseline(feats, "date_parsed", target, cutoff).collect()}
-        final = EV.fit(EV.training_frame(split, fs, target), fs, target, p)
-        pred = recursive_forecast(final, feats, ["geo", "naics"], "date_parsed", target, fs)
-        ptable = f"{schema}.predictions_{'vacancies' if target == spec.VAC else 'wage'}"
+        final = EV.fit(EV.training_frame(split, fs, target), p)
+        pred = recursive_forecast(final, feats, ["geo", "naics"], "date_parsed", target)
+        ptable = f"{schema}.predictions_{short}"
         save_predictions(pred, ptable)
         out[target] = ptable
-        metrics = {"test_rmse": test_rmse, **{f"train_{k}": v for k, v in of_train.items() if k in ("rmse", "mae", "mape", "r2")}, **{f"{k}_rmse": v for k, v in naive.items()},
-                   **{f"rmse_vs_{k}_pct": EV.rmse_reduction_pct(test_rmse, v) for k, v in naive.items() if v}}
-        tags = {"trees": len(tree_summary(final)), "target": target, "start": start, "cutoff": cutoff, "features": ",".join(fs)}
+        if diagnostics:
+            tables = {"ablation": EV.ablation(fitting, validating, fs, target, p),
+                      "permutation": EV.permutation_importance(model, test, fs, target, spec.PERMUTATION_REPEATS),
+                      "attributions": MD.attributions(final, split, ["geo", "naics", "date_parsed"])}
+            for name, df in tables.items():
+                out[f"{name}_{target}"] = f"{schema}.{name}_{short}"
+                io.save_table(df, out[f"{name}_{target}"])
+        test_rmse = scores["test"]["rmse"]
+        metrics = {**{f"{s}_{k}": m[k] for s, m in scores.items() for k in ("rmse", "mae", "mape", "r2")}, **{f"{k}_rmse": v for k, v in naive.items()},
+                   **{f"rmse_vs_{k}_pct": EV.rmse_reduction_pct(test_rmse, v) for k, v in naive.items() if v and test_rmse is not None},
+                   "val_rmse": val_rmse}
+        known = set(spec.FEATURES[target])
+        dropped = sorted(c for c in FE.feature_columns() if c not in known)
+        tags = {"trees": len(final.forest), "target": target, "start": start, "cutoff": cutoff, "train_cutoff": cutoff, "val_cutoff": val_cutoff,
+                "features": ",".join(fs), "features_dropped": ",".join(dropped), "n_search_trials": search_trials}
         run = f"{target}_gbt-{uuid.uuid4().hex[:12]}"
         if model_dir:
             tags["model"] = f"{model_dir.rstrip('/')}/{run}"
-            final.write().overwrite().save(tags["model"])
+            final.save(spark, tags["model"])
             out[f"model_{target}"] = tags["model"]
         log = run_log(spark, run, p, metrics, tags)
         logs = log if logs is None else logs.unionByName(log)

@@ -575,10 +575,9 @@ def _(spark, d):
 def _fitted(spark, d, target=VPK):
     """(model, train rows, test rows) with the published parameters."""
     s = _split(spark, d, target)
-    feats = EV.feature_set(target)
-    train = EV.training_frame(s.filter(F.col("split") == "train"), feats, target)
-    model = EV.fit(train, feats, target, spec.PUBLISHED_PARAMS[target])
-    return model, s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+    train = s.filter(F.col("split") == "train")
+    model = EV.fit(EV.training_frame(train, EV.feature_set(target), target), spec.PUBLISHED_PARAMS[target])
+    return model, train, s.filter(F.col("split") == "test")
 
 
 @q("fit_boosted_trees")
@@ -590,13 +589,12 @@ def _(spark, d):
 @q("predict")
 def _(spark, d):
     model, _, test = _fitted(spark, d)
-    return MD.predict(model, test, EV.feature_set(VPK)).select(*QK, T, VPK, "prediction")
+    return MD.predict(model, test).select(*QK, T, VPK, "prediction")
 
 
 def _importance(spark, d):
     model, _, _ = _fitted(spark, d)
-    return spark.createDataFrame(MD.feature_importance(model, EV.feature_set(VPK)),
-                                 "feature string, importance double")
+    return spark.createDataFrame(MD.feature_importance(model), "feature string, importance double")
 
 
 @q("feature_importance")
@@ -604,6 +602,12 @@ def _(spark, d):
     return _importance(spark, d)
 
 
+@q("feature_attributions")
+def _(spark, d):
+    model, train, _ = _fitted(spark, d)
+    return MD.attributions(model, train, [*QK, T])
+
+
 @q("rank_importance")
 def _(spark, d):
     return O.rank_importance(_importance(spark, d), "importance")
@@ -613,7 +617,7 @@ def _(spark, d):
 def _(spark, d):
     s = _split(spark, d)
     return EV.ablation(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"),
-                       EV.feature_set(VPK), VPK, spec.ABLATION_PARAMS[VPK])
+                       EV.feature_set(VPK), VPK, spec.PUBLISHED_PARAMS[VPK])
 
 
 @q("permutation_importance")
@@ -625,11 +629,10 @@ def _(spark, d):
 @q("random_search")
 def _(spark, d):
     s = _split(spark, d)
-    return EV.random_search(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"),
-                            EV.feature_set(VPK), VPK, spec.SEARCH_SPACE, spec.QUERY_SEARCH_TRIALS)
+    return EV.random_search(s.filter(F.col("tuning") == "fit"), s.filter(F.col("tuning") == "validate"), EV.feature_set(VPK), VPK)
 
 
 @q("recursive_forecast")
 def _(spark, d):
     model, _, _ = _fitted(spark, d)
-    return recursive_forecast(model, FX.ml_features(spark, d), QK, T, VPK, EV.feature_set(VPK))
+    return recursive_forecast(model, FX.ml_features(spark, d), QK, T, VPK)

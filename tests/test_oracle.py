@@ -48,7 +48,7 @@ stage_employment mart_monthly mart_quarterly mart_employment ml_features tempora
 predict ablation permutation_importance random_search feature_importance recursive_forecast
 seasonal_naive_forecast""".split()
 ML_ROWS_ONLY = {"fit_boosted_trees", "predict", "ablation", "permutation_importance", "random_search",
-                "feature_importance", "rank_importance", "recursive_forecast"}
+                "feature_importance", "feature_attributions", "rank_importance", "recursive_forecast"}
 
 
 def test_inventory_registered():
