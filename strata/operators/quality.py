@@ -76,7 +76,11 @@ def check_nonempty(df: DataFrame) -> bool:
 
 def check_columns(df: DataFrame, required: Sequence[str], strict: bool = False) -> dict:
     """Missing required columns and (strict) unexpected extras; no job runs."""
-    actual = df.columns
+    return check_names(df.columns, required, strict)
+
+
+def check_names(actual: Sequence[str], required: Sequence[str], strict: bool = False) -> dict:
+    """The same for a list of names, such as the header of a file."""
     missing = [c for c in required if c not in actual]
     extra = [c for c in actual if c not in required] if strict else []
     return {"missing": missing, "extra": extra, "ok": not missing and not extra}

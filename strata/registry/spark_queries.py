@@ -51,15 +51,37 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/strata-io/{name}-{uuid.uuid4().hex}"
 
 
+def _raw_quarterly_folder(spark, d) -> str:
+    """A landing folder of the quarterly feed: files of the usual column order, files that swap it and have a column
+    more, and a file in which one line per geography lacks fields."""
+    raw = P.quarterly_long(spark, d)
+    cols = [F.col(f"`{c}`") if c in raw.columns else F.lit("").alias(c) for c in spec.RAW_QUARTERLY_COLUMNS]
+    whole = raw.select(*cols)
+    path = _scratch(spark, "raw-quarterly")
+    swapped = [f"`{c}`" for c in reversed(spec.RAW_QUARTERLY_COLUMNS)]
+    wages = F.col("Statistics") == spec.STAT_WAGE
+    whole.where(~wages).write.option("header", True).csv(path)
+    whole.where(wages).select(*swapped, F.lit("n/a").alias("NOTE")).write.mode("append").option("header", True).csv(path)
+    short = raw.groupBy("GEO").agg(F.count("*").alias("n")).select(F.concat_ws(",", F.lit("1997-01"), "GEO", "n").alias("value"))
+    head = ",".join(f'"{c}"' for c in spec.RAW_QUARTERLY_COLUMNS)
+    lines = short.withColumn("at", F.lit(1)).unionByName(spark.range(1).select(F.lit(head).alias("value"), F.lit(0).alias("at")))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+    return path
+
+
 @q("read_raw_csv")
 def _(spark, d):
     from strata.plans.clean import clean_quarterly
     from strata.sources.io import read_raw_csv
-    raw = P.quarterly_long(spark, d)
-    cols = [F.col(f"`{c}`") if c in raw.columns else F.lit("").alias(c) for c in spec.RAW_QUARTERLY_COLUMNS]
-    path = _scratch(spark, "raw-quarterly")
-    raw.select(*cols).write.option("header", True).csv(path)
-    return clean_quarterly(read_raw_csv(spark, path, spec.RAW_QUARTERLY_SCHEMA))
+    return clean_quarterly(read_raw_csv(spark, _raw_quarterly_folder(spark, d), spec.RAW_QUARTERLY_SCHEMA))
+
+
+@q("read_raw_csv_rejects")
+def _(spark, d):
+    from strata.sources.io import read_raw_csv_with_rejects
+    rows, rejects = read_raw_csv_with_rejects(spark, _raw_quarterly_folder(spark, d), spec.RAW_QUARTERLY_SCHEMA)
+    counted = rows.groupBy("Statistics").agg(F.count("*").alias("n"))
+    return counted.unionByName(rejects.select(F.col("record").alias("Statistics"), F.lit(1).cast("long").alias("n")))
 
 
 @q("write_partitioned")

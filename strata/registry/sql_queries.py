@@ -304,6 +304,10 @@ SQL["naive_baseline"] = with_(f"{_naive(VPK)} UNION ALL {_naive('avg_offered_hou
 
 # ------------------------------------------------------------ 2.1 (round trips)
 SQL["read_raw_csv"] = with_("SELECT * FROM quarterly_clean", "quarterly_clean")
+SQL["read_raw_csv_rejects"] = with_("""
+SELECT Statistics, count(*) AS n FROM quarterly_long GROUP BY Statistics
+UNION ALL
+SELECT '1997-01,' || GEO || ',' || count(*) AS Statistics, 1 AS n FROM quarterly_long GROUP BY GEO""", "quarterly_long")
 SQL["write_partitioned"] = with_("SELECT * FROM monthly_curated", "monthly_curated")
 SQL["read_partitioned_parquet"] = with_("SELECT * FROM quarterly_curated", "quarterly_curated")
 SQL["load_threshold_seed"] = with_("""

@@ -2,26 +2,66 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import spec
+from strata.operators.quality import check_names
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV, every column typed by ``schema`` (strings), file or folder.
+#: Column that holds the text of a line that does not fit its file's header.
+_BROKEN = "__broken"
+
 
-    No inference pass: the schema is given, so the scan is planned from the
-    footer-less header only and splits freely across executors. A UTF-8 BOM
-    on the first header is dropped by the reader; quoted commas are honoured.
+def csv_layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """The different headers of the CSV files under ``path`` and the files that have each.
+
+    One pass over the first block of each file finds its first line; per distinct header a list of file names (which
+    Spark's own listing holds as well) reaches the driver. Files without a line have no header and no rows.
     """
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    found = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    return [([name.strip() for name in next(csv.reader([r["head"].removeprefix("\ufeff")]), [])], list(r["files"])) for r in found]
+
+
+def read_raw_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of the CSV files (one file or a folder) under ``path``.
+
+    Each file's columns are bound by the names in its own header, whatever their order; columns that ``schema`` does
+    not name are left out, and a missing column is an error that names the files. Files with the same header are
+    one scan. ``rows`` has the columns of ``schema``; ``rejects`` has ``file`` and ``record``, the text of each line
+    with more or fewer fields than its header. Every line after a header is in exactly one of the two.
+    """
+    wanted = schema.fieldNames()
+    layouts = csv_layouts(spark, path)
+    for names, files in layouts:
+        gate = check_names(names, wanted)
+        if gate["missing"]:
+            raise ValueError(f"columns {gate['missing']} are missing in {files[:5]}")
+    rows = rejects = None
+    for names, files in layouts:
+        first = {n: i for i, n in reversed(list(enumerate(names)))}
+        own = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))] + [T.StructField(_BROKEN, T.StringType())])
+        lines = (spark.read.schema(own).option("header", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", False).csv(files))
+        # Spark refuses plans that read nothing but the record of a broken line: the first field is always read with it
+        lines = lines.where(F.length(F.coalesce("c0", F.lit(""))) >= 0)
+        good = lines.where(F.col(_BROKEN).isNull()).select(*[F.col(f"c{first[f.name]}").cast(f.dataType).alias(f.name) for f in schema.fields])
+        bad = lines.where(F.col(_BROKEN).isNotNull()).select(F.col("_metadata.file_path").alias("file"), F.col(_BROKEN).alias("record"))
+        rows, rejects = (good, bad) if rows is None else (rows.unionByName(good), rejects.unionByName(bad))
+    if rows is None:
+        return spark.createDataFrame([], schema), spark.createDataFrame([], "file string, record string")
+    return rows, rejects
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of :func:`read_raw_csv_with_rejects`, without the lines that do not fit their header."""
+    return read_raw_csv_with_rejects(spark, path, schema)[0]
 
 
 def read_partitioned_parquet(spark: SparkSession, path: str) -> DataFrame:

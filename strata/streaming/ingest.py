@@ -32,8 +32,11 @@ FEEDS: dict[str, tuple[T.StructType, Callable[[DataFrame], DataFrame]]] = {
 
 def raw_stream(spark: SparkSession, path: str, schema: T.StructType,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming CSV source over a landing folder (header, all strings)."""
-    r = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    """Streaming CSV source over a landing folder (header, all strings).
+
+    Columns are bound by position; a file whose header names other columns, or in another order, stops the stream.
+    """
+    r = spark.readStream.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(path)

@@ -31,6 +31,25 @@ def test_read_raw_csv_folder_and_quoted_commas(spark, tmp_dir):
     assert labels == {"Total, all industries", "Warehousing and storage [493,4931]"}
 
 
+def test_raw_csv_is_bound_by_header_names(spark, tmp_dir):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("A", "B", "C, x")])
+    fx.write(tmp_dir, "h/a.csv", '\ufeffA,B,"C, x"\n1,2,3\n4,5\n"q,1",6,7\n,,\n\n8,9,10,11\n')
+    fx.write(tmp_dir, "h/b.csv", 'B,extra, "C, x" ,A\n20,e,30,10\nA,B\n1,2,3,"x""y"\n'.replace(' "C, x" ', '"C, x"'))
+    fx.write(tmp_dir, "h/none.csv", "")
+    fx.write(tmp_dir, "h/head.csv", 'A,B,"C, x"\n')
+    rows, rejects = io.read_raw_csv_with_rejects(spark, os.path.join(tmp_dir, "h"), schema)
+    assert sorted(map(tuple, rows.na.fill("-").collect())) == [("-", "-", "-"), ("1", "2", "3"), ("10", "20", "30"), ("q,1", "6", "7"), ('x"y', "1", "3")]
+    assert sorted((os.path.basename(r.file), r.record) for r in rejects.collect()) == [("a.csv", "4,5"), ("a.csv", "8,9,10,11"), ("b.csv", "A,B")]
+    assert rows.count() == 5 and rejects.count() == 3 and rows.select("B").count() == 5
+
+
+def test_raw_csv_without_a_column_names_the_file(spark, tmp_dir):
+    p = fx.write(tmp_dir, "missing.csv", "REF_DATE,GEO\n2015-01,Canada\n")
+    with pytest.raises(ValueError, match="VALUE.*missing.csv"):
+        io.read_raw_csv(spark, p, spec.RAW_MONTHLY_SCHEMA)
+
+
 def test_clean_monthly_trims_casts_and_years(spark, tmp_dir):
     p = fx.write(tmp_dir, "m.csv", fx.RAW_MONTHLY)
     c = CL.clean_monthly(io.read_raw_csv(spark, p, spec.RAW_MONTHLY_SCHEMA))
