@@ -6,8 +6,9 @@
 * ``marts_job``    catalog tables → staging views and the three mart tables
 * ``forecast_job`` quarterly mart → feature table, models, predictions, run log
 
-Every step is lazy DataFrame work ending in a write; only gate reports (one
-row per rule) and model metrics reach the driver.
+Every step is lazy DataFrame work ending in a write; gates are counted while
+a table is written, and it replaces the old one only if they pass. Only gate
+reports (one row per rule) and model metrics reach the driver.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from strata.plans import marts as M
 from strata.plans import stage as ST
 from strata.plans.rules import UNIQUE, with_unique_key
 from strata.sources import io
+from strata.sources import publish as PB
 
 FEEDS = ("monthly", "quarterly", "employment")
 
@@ -58,13 +60,13 @@ def curate_job(spark: SparkSession, processed: Mapping[str, str], out: str) -> d
         clean = io.read_partitioned_parquet(spark, processed[feed])
         if not Q.check_nonempty(clean):
             raise AssertionError(f"{feed}: no rows in {processed[feed]}")
-        cur = fn(clean)
-        Q.enforce(CU.export_gate(cur, keys + list(stats), keys), feed)
-        Q.enforce(Q.check_row_reconciliation(clean, cur, factor)
-                  .select(F.lit("row_reconciliation").alias("check"), F.lit("*").alias("column"),
-                          (~F.col("ok")).cast("long").alias("failures"), F.col("ok").alias("passed")), feed)
+        watched, seen = PB.counted(clean, feed)
+        cur = fn(watched)
+        gate = Q.check_columns(cur, keys + list(stats), strict=True)
+        if not gate["ok"]:
+            raise AssertionError(f"{feed}: column check failed: {gate}")
         paths[feed] = f"{out.rstrip('/')}/{feed}_curated"
-        io.write_partitioned(cur, paths[feed])
+        PB.publish_partitioned(cur, paths[feed], [*[Q.NotNull(c) for c in keys], Q.UniqueKey(tuple(keys))], before=(clean, seen), factor=factor)
     return paths
 
 
@@ -75,9 +77,8 @@ def register_job(spark: SparkSession, curated: Mapping[str, str], schema: str) -
     for feed in FEEDS:
         df = CU.to_catalog(io.read_partitioned_parquet(spark, curated[feed]))
         key = UNIQUE[f"stage_{feed}"]          # critical columns: not null, unique together
-        Q.enforce(Q.quality_report(df, [Q.NotNull(c) for c in key] + [Q.UniqueKey(key)]), feed)
         name = f"{schema}.{feed}_curated"
-        io.save_table(df, name)
+        PB.publish_table(df, name, [Q.NotNull(c) for c in key] + [Q.UniqueKey(key)])
         tables[feed] = name
     return tables
 
@@ -102,8 +103,7 @@ def marts_job(spark: SparkSession, tables: Mapping[str, str], thresholds: DataFr
     out = {}
     for name, (model, df) in marts.items():
         table = f"{schema}.{name}"
-        io.save_table(df, table)
-        Q.enforce(Q.quality_report(spark.table(table), with_unique_key(model)), name)
+        PB.publish_table(df, table, with_unique_key(model))
         out[name] = table
     return out
 

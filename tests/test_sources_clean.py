@@ -35,7 +35,7 @@ def test_raw_csv_is_bound_by_header_names(spark, tmp_dir):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("A", "B", "C, x")])
     fx.write(tmp_dir, "h/a.csv", '\ufeffA,B,"C, x"\n1,2,3\n4,5\n"q,1",6,7\n,,\n\n8,9,10,11\n')
-    fx.write(tmp_dir, "h/b.csv", 'B,extra, "C, x" ,A\n20,e,30,10\nA,B\n1,2,3,"x""y"\n'.replace(' "C, x" ', '"C, x"'))
+    fx.write(tmp_dir, "h/b.csv", 'B,extra,"C, x",A\n20,e,30,10\nA,B\n1,2,3,"x""y"\n')
     fx.write(tmp_dir, "h/none.csv", "")
     fx.write(tmp_dir, "h/head.csv", 'A,B,"C, x"\n')
     rows, rejects = io.read_raw_csv_with_rejects(spark, os.path.join(tmp_dir, "h"), schema)
