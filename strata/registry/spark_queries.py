@@ -114,6 +114,25 @@ def _(spark, d):
     return materialize(FX.monthly_stage(spark, d), "stg_monthly_vacancies", "view")
 
 
+def _fresh_table(spark, name: str) -> str:
+    """A new table name in the schema of stored results (the in-memory catalog may lie over an older warehouse)."""
+    import uuid
+    from strata.sources.io import create_schema
+    create_schema(spark, "strata_io")
+    return f"strata_io.{name}_{uuid.uuid4().hex}"
+
+
+@q("save_table")
+def _(spark, d):
+    from strata.plans.rules import UNIQUE
+    from strata.sources.io import read_table
+    from strata.sources.publish import publish_table
+    key = UNIQUE["stage_quarterly"]
+    name = _fresh_table(spark, "quarterly_curated")
+    publish_table(CU.to_catalog(FX.quarterly_curated(spark, d)), name, [Q.NotNull(c) for c in key] + [Q.UniqueKey(key)])
+    return read_table(spark, "quarterly", {"quarterly": name})
+
+
 # ----------------------------------------------------------- 2.2 projections
 @q("select_columns")
 def _(spark, d):
@@ -412,9 +431,9 @@ def _(spark, d):
             .select(*QK, T, "pct_quarters_above_threshold_2yr")
 
 
-def _interpolated(spark, d):
+def _interpolated(spark, d, measures=(VPK, WAGE)):
     df = FX.gap_cleaned(spark, d)
-    for v in (VPK, WAGE):
+    for v in measures:
         df = W.interpolate_limited(df, QK, T, v, spec.INTERPOLATION_LIMIT)
     return df
 
@@ -579,19 +598,45 @@ def _split(spark, d, target=VPK):
                              spec.FIXTURE_VAL_CUTOFF)
 
 
+def _lagged(spark, d, measures=(VPK, WAGE), lags=(1, 4)):
+    """The interpolated panel with the few lags that the naive predictors need, not the whole feature table."""
+    df = _interpolated(spark, d, measures).select(*QK, T, *measures)
+    for m in measures:
+        df = W.lag_features(df, QK, T, m, lags)
+    return df
+
+
 @q("temporal_split")
 def _(spark, d):
-    return _split(spark, d).select(*QK, T, VPK, "split", "tuning")
+    s = _interpolated(spark, d, [VPK]).select(*QK, T, VPK)
+    return EV.temporal_split(s, T, VPK, spec.FIXTURE_SPLIT_CUTOFF, spec.FIXTURE_VAL_CUTOFF)
+
+
+@q("run_log")
+def _(spark, d):
+    from strata.forecasting.runlog import append_run_log, run_log
+    scores = EV.naive_baseline(_lagged(spark, d), T, [VPK, WAGE], spec.FIXTURE_SPLIT_CUTOFF).collect()  # one row per target and lag
+    name = _fresh_table(spark, "run_log")
+    for s in scores:
+        append_run_log(run_log(spark, s.predictor, {"cutoff": spec.FIXTURE_SPLIT_CUTOFF}, {f"{s.target}.{m}": s[m] for m in ("n", "rmse", "mae")}, {"target": s.target}), name)
+    return spark.table(name)
+
+
+@q("save_predictions")
+def _(spark, d):
+    from strata.forecasting.runlog import save_predictions
+    return save_predictions(_seasonal_naive(spark, d), _fresh_table(spark, "predictions_vacancies"))
 
 
 @q("forecast_metrics")
 def _(spark, d):
-    return EV.forecast_metrics(_split(spark, d), VPK, f"{VPK}_lag4", ["split"])
+    s = EV.temporal_split(_lagged(spark, d, [VPK], [4]), T, VPK, spec.FIXTURE_SPLIT_CUTOFF, spec.FIXTURE_VAL_CUTOFF)
+    return EV.forecast_metrics(s, VPK, f"{VPK}_lag4", ["split"])
 
 
 @q("naive_baseline")
 def _(spark, d):
-    return EV.naive_baseline(FX.ml_features(spark, d), T, [VPK, WAGE], spec.FIXTURE_SPLIT_CUTOFF)
+    return EV.naive_baseline(_lagged(spark, d), T, [VPK, WAGE], spec.FIXTURE_SPLIT_CUTOFF)
 
 
 def _fitted(spark, d, target=VPK):

@@ -302,7 +302,17 @@ def _naive(target: str) -> str:
 
 SQL["naive_baseline"] = with_(f"{_naive(VPK)} UNION ALL {_naive('avg_offered_hourly_wage')}", "features")
 
+SQL["save_predictions"] = SQL["seasonal_naive_forecast"]
+SQL["run_log"] = with_(f"""
+, scores AS ({_naive(VPK)} UNION ALL {_naive('avg_offered_hourly_wage')})
+SELECT predictor AS run, 'param' AS kind, 'cutoff' AS name, '2000-04-01' AS value FROM scores
+UNION ALL SELECT predictor, 'tag', 'target', target FROM scores
+UNION ALL SELECT predictor, 'metric', target || '.n', CAST(n AS VARCHAR) FROM scores
+UNION ALL SELECT predictor, 'metric', target || '.rmse', CAST(rmse AS VARCHAR) FROM scores
+UNION ALL SELECT predictor, 'metric', target || '.mae', CAST(mae AS VARCHAR) FROM scores""", "features")
+
 # ------------------------------------------------------------ 2.1 (round trips)
+SQL["save_table"] = SQL["rename_columns"]
 SQL["read_raw_csv"] = with_("SELECT * FROM quarterly_clean", "quarterly_clean")
 SQL["read_raw_csv_rejects"] = with_("""
 SELECT Statistics, count(*) AS n FROM quarterly_long GROUP BY Statistics

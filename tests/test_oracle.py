@@ -30,8 +30,7 @@ def test_entry_smoke(spark):
 
 
 # SURVEY §2 inventory; keys marked t there are I/O or boolean gates tested in pytest only
-TEST_ONLY = {"read_table", "save_table", "create_schema", "check_nonempty", "check_columns",
-             "schema_summary", "feature_set", "run_log", "save_predictions"}
+TEST_ONLY = {"create_schema", "check_nonempty", "check_columns", "schema_summary", "feature_set"}
 INVENTORY = """read_raw_csv read_partitioned_parquet load_threshold_seed write_partitioned materialize
 select_columns rename_columns trim_strings cast_measure parse_period period_year filter_category filter_since
 filter_not_null exclude_members rate_per_1000 pct_change classify_tier date_window_flags calendar_cycle
@@ -46,7 +45,7 @@ check_accepted_range check_accepted_values check_row_reconciliation quality_repo
 clean_monthly clean_quarterly curate_monthly curate_quarterly curate_employment stage_monthly stage_quarterly
 stage_employment mart_monthly mart_quarterly mart_employment ml_features temporal_split fit_boosted_trees
 predict ablation permutation_importance random_search feature_importance recursive_forecast
-seasonal_naive_forecast""".split()
+seasonal_naive_forecast save_table run_log save_predictions""".split()
 ML_ROWS_ONLY = {"fit_boosted_trees", "predict", "ablation", "permutation_importance", "random_search",
                 "feature_importance", "feature_attributions", "rank_importance", "recursive_forecast"}
 
