@@ -12,6 +12,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.ordering import running_sums
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -108,15 +110,29 @@ def group_percentiles(df: DataFrame, by: Sequence[str], value: str,
                       accuracy: int = 10000) -> DataFrame:
     """Continuous (interpolated) percentiles per group, NULLs excluded.
 
-    Groups whose values are all NULL produce no row. ``approx=True`` uses
-    ``percentile_approx`` (bounded sketch per group) for very large groups.
+    Exact order statistics by counting: rows become counts per (group, value), running sums over a range-partitioned
+    sort say which ranks a value holds, and each percentile lies between the two values that hold its neighbouring
+    ranks. No task or buffer sees a whole group, so a group may hold any share of the rows.
+    Groups whose values are all NULL produce no row. ``approx=True`` uses ``percentile_approx`` (bounded sketch per group).
     """
-    v = _q(value)
+    v, keys = _q(value), [_q(b) for b in by]
+    known = df.filter(v.isNotNull())
     if approx:
-        aggs = [F.percentile_approx(v, p, accuracy).alias(o) for o, p in percentiles.items()]
-    else:
-        aggs = [F.percentile(v, F.lit(p)).alias(o) for o, p in percentiles.items()]
-    return df.filter(v.isNotNull()).groupBy(*[_q(b) for b in by]).agg(*aggs)
+        return known.groupBy(*keys).agg(*[F.percentile_approx(v, p, accuracy).alias(o) for o, p in percentiles.items()])
+    names = [f"__g{i}" for i in range(len(by))]
+    counts = known.groupBy(*[k.alias(n) for k, n in zip(keys, names, strict=True)], v.alias("__v")).agg(F.count(F.lit(1)).alias("n"))
+    ranks = running_sums(counts, names, ["__v"], ["n"])
+
+    def holding(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("before_n")) & (rank < F.col("before_n") + F.col("n")), F.col("__v").cast("double")))
+
+    picked, results = [], []
+    for i, (out, p) in enumerate(percentiles.items()):
+        place = F.lit(float(p)) * (F.col("all_n") - 1)
+        picked += [holding(F.floor(place)).alias(f"__low{i}"), holding(F.ceil(place)).alias(f"__high{i}"), F.max(place).alias(f"__at{i}")]
+        low, high, at = F.col(f"__low{i}"), F.col(f"__high{i}"), F.col(f"__at{i}")
+        results.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high).alias(out))
+    return ranks.groupBy(*names).agg(*picked).select(*[F.col(n).alias(b) for n, b in zip(names, by, strict=True)], *results)
 
 
 def missing_share(df: DataFrame, by: Sequence[str], value: str, threshold_pct: float = 10.0) -> DataFrame:

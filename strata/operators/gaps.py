@@ -1,18 +1,21 @@
 """Calendar gaps and panel completion.
 
-The expected calendar, the set of observed periods and the label sets are
-vocabulary-sized (periods, geos, sectors), never data-sized: they travel as
-scalar-subquery arrays, and the grid of new rows is generated per geo by
-``explode`` on the executors — no cartesian join of data rows.
+The grid of new rows is a range of numbers, decoded into labels and periods
+by equi-joins with their numbered distinct values — no cartesian join, and
+no task that gathers a vocabulary.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.ordering import numbered
+from strata.session import cut_lineage
+
 
 def _calendar(start: str, end: Column, step_months: int) -> Column:
     return F.sequence(F.lit(start).cast("date"), end, F.make_ym_interval(F.lit(0), F.lit(step_months)))
@@ -36,19 +39,26 @@ def complete_panel(df: DataFrame, keys: Sequence[str], t: str, start: str,
 
     Periods missing for only some series are *not* filled (holes stay).
     ``keys`` are the series key columns, e.g. ``["geo", "naics"]``; the grid
-    is the product of their distinct values, so it has at least as many rows
-    as any key has labels. Periods and labels are made distinct by hash
-    aggregates before they meet as one array each; no task sees data rows.
+    is the product of their distinct values. The distinct labels of all keys
+    are made by one aggregate and numbered by a range-partitioned sort, the
+    missing periods likewise; the grid is a range of numbers whose digits are
+    the numbers of the labels and of the period, joined back to their values.
+    No task gathers labels or rows.
     """
-    keys = list(keys)
-    first, rest = keys[0], keys[1:]
-    gaps = missing_periods(df, t, start, step_months)     # at most the calendar's periods
-    grid = df.select(first).distinct().withColumn("__gaps", gaps.agg(F.sort_array(F.collect_list(t))).scalar())
-    for k in rest:
-        labels = df.select(k).filter(F.col(k).isNotNull()).distinct()
-        grid = grid.withColumn("__labels", labels.agg(F.collect_list(k)).scalar())
-        grid = grid.withColumn(k, F.explode("__labels")).drop("__labels")
-    grid = grid.select(*keys, F.explode("__gaps").alias(t))
+    keys, types = list(keys), dict(df.dtypes)
+    labels = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(f"`{k}`").cast("string").alias("label")) for i, k in enumerate(keys)])).alias("e"))
+    labels = labels.select("e.*").where("kind = 0 or label is not null").distinct()
+    labels = cut_lineage(numbered(labels, ["kind", "label"], "no"), "panel-labels")
+    gaps = cut_lineage(numbered(missing_periods(df, t, start, step_months), [t], "no"), "panel-gaps")
+    spans = {r["kind"]: (r["first"], r["n"]) for r in labels.groupBy("kind").agg(F.min("no").alias("first"), F.count("*").alias("n")).collect()}  # one row per key
+    sizes = [spans[i][1] if i in spans else 0 for i in range(len(keys))]
+    step = gaps.count()
+    grid = df.sparkSession.range(math.prod(sizes) * step).select((F.col("id") % max(1, step)).alias("__gap"), F.expr(f"id div {max(1, step)}").alias("__rest"))
+    for i in reversed(range(len(keys))):
+        first, n = spans.get(i, (0, 1))
+        mine = labels.where(F.col("kind") == i).select((F.col("no") - first).alias("__no"), F.col("label").cast(types[keys[i]]).alias(keys[i]))
+        grid = grid.withColumn("__no", F.col("__rest") % n).withColumn("__rest", F.expr(f"__rest div {n}")).join(mine, "__no").drop("__no")
+    grid = grid.join(gaps.withColumnRenamed("no", "__gap"), "__gap").select(*keys, t)
     if year_col:
         grid = grid.withColumn(year_col, F.year(t))
     return df.unionByName(grid, allowMissingColumns=True)

@@ -76,7 +76,8 @@ def numbered(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
 
 
 def running_sums(df: DataFrame, within: Sequence[str], by: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Add ``before_<c>``: the sum of ``c`` over the earlier rows of the same group, in the order of ``by``.
+    """Add ``before_<c>``, the sum of ``c`` over the earlier rows of the same group in the order of ``by``, and
+    ``all_<c>``, its sum over the whole group.
 
     Rows are range-partitioned by (group, order) and stored once, so a group may fill many partitions. Sums run inside
     a partition's share of a group, then over the shares of a group: one row per partition and group.
@@ -86,10 +87,12 @@ def running_sums(df: DataFrame, within: Sequence[str], by: Sequence[str], sums:
     d = cut_lineage(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumns(
         {"__row": F.monotonically_increasing_id(), "__part": F.spark_partition_id()}), "running")
     inside = Window.partitionBy("__part", *within).orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = Window.partitionBy(*within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*within)
+    ahead = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shares = d.groupBy("__part", *within).agg(*[F.sum(c).alias(c) for c in sums])
     starts = shares.select(F.col("__part").alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(within)],
-                           *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"__s{i}") for i, c in enumerate(sums)])
+                           *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"__s{i}") for i, c in enumerate(sums)],
+                           *[F.sum(c).over(whole).alias(f"all_{c}") for c in sums])
     same = F.col("__part") == F.col("__p")
     for i, k in enumerate(within):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))

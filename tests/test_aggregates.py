@@ -1,6 +1,9 @@
 """Aggregate operators on tiny hand-built inputs (semantics the oracle cannot isolate)."""
 
 import datetime as dt
+import random
+
+from pyspark.sql import functions as F
 
 from strata.operators import aggregates as A
 from strata.operators import gaps as G
@@ -55,7 +58,6 @@ def test_period_difference_and_append(spark):
 
 
 def test_group_percentiles_exact_and_approx(spark):
-    import random
     rnd = random.Random(2)
     rows = [(f"g{i % 3}", float(rnd.randint(0, 1000))) for i in range(3000)] + [("g0", None)]
     df = spark.createDataFrame(rows, "g string, v double")
@@ -66,3 +68,26 @@ def test_group_percentiles_exact_and_approx(spark):
         vals = np.array([v for k, v in rows if k == g and v is not None])
         assert ex[g].p50 == np.percentile(vals, 50) and ex[g].p75 == np.percentile(vals, 75)
         assert abs(ap[g].p50 - ex[g].p50) <= 10 and abs(ap[g].p75 - ex[g].p75) <= 10   # ~1% of range
+
+
+def test_group_percentiles_by_counting_equal_the_builtin(spark):
+    """Null, tied, single and hot groups, several keys, and a group's values over several partitions."""
+    rnd = random.Random(7)
+    rows = [(None, 1, rnd.gauss(0, 9)) for _ in range(400)] + [("a", None, float(rnd.randrange(3))) for _ in range(90)]
+    rows += [("b", i % 5, rnd.random()) for i in range(60)] + [("one", 1, 4.5), ("none", 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(6)
+    ps = {f"p{int(p * 100)}": p for p in (0.0, 0.25, 0.5, 0.75, 0.9, 1.0)}
+    got = {(r.g, r.h): r for r in A.group_percentiles(df, ["g", "h"], "v", ps).collect()}
+    want = df.where("v is not null").groupBy("g", "h").agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in ps.items()]).collect()
+    assert len(got) == len(want) == 8 and all(got[r.g, r.h] == r for r in want)
+    assert A.group_percentiles(df.where("v > 100"), ["g"], "v", ps).collect() == []
+
+
+def test_running_sums_cross_partitions(spark):
+    from strata.operators.ordering import running_sums
+    rows = [("hot" if i % 3 else f"g{i % 4}", i * 7 % 300, i % 5) for i in range(300)]
+    got = running_sums(spark.createDataFrame(rows, "g string, t int, x long"), ["g"], ["t"], ["x"]).collect()
+    assert len(got) == 300
+    for r in got:
+        own = [x for g, t, x in rows if g == r.g]
+        assert r.before_x == sum(x for g, t, x in rows if g == r.g and t < r.t) and r.all_x == sum(own)
