@@ -164,8 +164,22 @@ def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool
         joined = np.unique(joined)
         marks = np.sort(np.concatenate([marks, joined, joined]))
     starts, ends = marks[::2], marks[1::2]
-    symbols = SYMBOLS[LOWER[raw]] if lower else SYMBOLS[raw]
-    return span_hash(prefix(symbols), starts, ends), starts, ends, np.searchsorted(starts, offsets, side="left")
+    return word_hashes(LOWER[raw] if lower else raw, starts, ends), starts, ends, np.searchsorted(starts, offsets, side="left")
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: the sum of a mixed value for each (byte, place in the word), mixed with the length.
+
+    A polynomial in the place would not do: the Thue-Morse word over any two letters and its complement agree under every
+    polynomial mod 2**64 from 1,024 letters on. Here each pair has a value of its own, so no arrangement of bytes is special.
+    """
+    if not len(starts):
+        return np.zeros(0, U64)
+    first = int(starts[0])
+    place = np.arange(first, len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw))))
+    sums = np.zeros(len(raw) - first + 1, U64)
+    np.cumsum(mix(SYMBOLS[raw[first:]] ^ (place.astype(U64) * U64(0xD6E8FEB86659FD93))), out=sums[1:])
+    return mix(sums[ends - first] - sums[starts - first] + (ends - starts).astype(U64) * U64(0xD1B54A32D192ED03))
 
 
 def all_words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool

@@ -183,3 +183,21 @@ def test_chunks_cover_all_rows():
     raw, offsets = text_bytes(pa.array(["ab", None, "", "çd" * 10, "x"]))
     assert raw.tobytes().decode() == "ab" + "çd" * 10 + "x"
     assert [r for i, j in chunks(offsets, 4) for r in range(i, j)] == [0, 1, 2, 3, 4]
+
+
+def thue_morse(a, b, n=1024):
+    """Two words of n letters that every polynomial hash mod 2**64 takes for one: the Thue-Morse word and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[i] for i in bits), "".join((b, a)[i] for i in bits)
+
+
+@pytest.mark.parametrize("letters", ["ab", "'u", "éä"])
+def test_words_that_polynomials_confuse_stay_apart(spark, letters):
+    one, two = thue_morse(*letters)
+    lead = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*lead[:49], w])) for i, w in enumerate((one, two))] + [(i + 2, f"{w} b c d e") for i, w in enumerate((one, two))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in substring_dedup.dedup(docs).collect()}
+    assert all(r.n_removed == 0 for r in found.values())
+    near = {r.doc_id: r.component_id for r in minhash_forest.components(docs.where("doc_id > 1")).collect()}
+    assert near == {2: 2, 3: 3}

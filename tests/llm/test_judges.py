@@ -166,3 +166,20 @@ def test_near_dedup_keeps_one_row_of_each_component(spark, tmp_path):
     assert out.columns == docs.columns
     found = sorted(((r["doc_id"], r["text"][:2]) for r in out.collect()), key=str)
     assert found == sorted([(1, "a0"), (2, "b0"), (2, "c0"), (None, "d0"), (5, "e0"), (6, ""), (6, "")], key=str)
+
+
+def test_words_that_polynomials_confuse_do_not_contaminate(spark):
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join(pair[i] for i in bits) for pair in ("ab", "ba"))
+    lead = [f"w{i}" for i in range(12)]
+    docs = spark.createDataFrame([(1, " ".join([*lead, one])), (2, " ".join([*lead, two]))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join([*lead, two]))], "item_id long, text string")
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.judge(docs, items).collect()} == {1: (0, 0), 2: (13, 1)}
+
+
+def test_pipeline_keeps_documents_that_only_hash_alike(spark, tmp_path):
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    rows = [(i, "".join(pair[j] for j in bits) + " the house and the garden", "en", "s", 1) for i, pair in enumerate(("ab", "ba"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    assert {r.doc_id for r in stages["near_dedup"](spark, docs, str(tmp_path)).collect()} == {0, 1}
