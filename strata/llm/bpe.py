@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import tidy
+from .common import tidy, without
 from .pretokens import PieceEncoder, id_values, joined, slices, with_columns
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -94,7 +94,7 @@ class ByteBPE:
         return [array("I", [self.whole_token[r]] if r in self.whole_token else next(merged)).tobytes() for r in raw]
 
     def encode(self, texts: pa.Array) -> pa.Array:
-        """Ids of each text as little-endian unsigned 32-bit integers in one binary value."""
+        """Ids of each text as little-endian unsigned 32-bit integers in one binary value. A column called like it is replaced."""
         return self.pieces.encode(texts)
 
     def decode(self, ids: pa.Array) -> pa.Array:
@@ -131,18 +131,20 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCA
                 yield _encoded(part, bpe, text, ids)
         bpe.forget()
 
+    df = without(df, [ids], [text])
     return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType())]))
 
 
 def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str = VOCABULARY,
            pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """Add ``decoded``: the bytes that the ids stand for."""
+    """Add ``decoded``: the bytes that the ids stand for. A column called like it is replaced."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
             for part in slices(batch, ids, 4 * SLICE):
                 yield _decoded(part, bpe, ids, decoded)
 
+    df = without(df, [decoded], [ids])
     return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import checkpoint_dir
 
@@ -76,6 +77,12 @@ def delete_folders(spark: SparkSession, folders: list[str]) -> None:
             _MADE.remove(folder)
 
 
+def without(df: DataFrame, names: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
+    """``df`` without columns that are called like one of ``names``, whatever their case; those in ``keep`` stay."""
+    taken, stay = {n.lower() for n in names}, set(keep)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in stay or c.lower() not in taken])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser on a uint64 array."""
     x = x ^ (x >> U64(30))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORD, U64, all_words, stage_path, text_bytes, tidy
+from .common import ALNUM_WORD, U64, all_words, stage_path, text_bytes, tidy, without
 from .fm_index import FMIndex
 from .pretokens import slices
 
@@ -154,6 +154,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = N, share: int = 20, te
              T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType()), T.StructField("spans", span)]
     if clean:
         added.append(T.StructField(clean, T.StringType()))
+    docs = without(docs, [f.name for f in added], [text])
     names = {f.name for f in added}
     fields = [f for f in docs.schema.fields if f.name not in names]
 

@@ -5,9 +5,10 @@ each filter's maximum over the window is kept, and a softmax layer gives label
 probabilities. A text's probabilities are the mean over all its windows, weighted
 by their bytes, so whole texts are judged.
 
-Training uses a bounded sample: for each label about ``per_label`` documents,
-chosen by a hash of doc_id from exact label counts, and ``windows_per_doc`` windows
-of each. Prediction needs the text only.
+Training uses a bounded sample: for each label about ``per_label`` distinct texts,
+chosen by a hash of the text from exact counts of the label's distinct texts, and
+``windows_per_doc`` windows of each. Copies and repeated ids neither crowd a label
+out nor enlarge the sample. Prediction needs the text only.
 
 Null text and text without a letter give label ``und`` and score 0. Null labels
 are never learned; with no labelled document every text is ``und``. Each row is
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, text_bytes, tidy
+from .common import chunks, text_bytes, tidy, without
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -158,12 +159,12 @@ def has_letter(raw: np.ndarray, offsets: np.ndarray, texts: list[str | None]) ->
     return out
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 600,
+def fit(labelled: DataFrame, text: str = "text", label: str = "lang", per_label: int = 600,
         windows_per_doc: int = 4, **options) -> ByteCNN | None:
     """Train on a bounded sample of labelled rows (null labels and null texts are left out); None without any."""
-    rows = labelled.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(label).cast("string").alias("label")
-                           ).where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(MAX_LABELS + 1).collect()}
+    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label")).where(F.col("label").isNotNull() & F.col("text").isNotNull())
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    counts = {r["label"]: r["count"] for r in rows.select("label", "key").distinct().groupBy("label").count().limit(MAX_LABELS + 1).collect()}
     if len(counts) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels")
     if not counts:
@@ -171,7 +172,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     labels = sorted(counts)
     share = F.create_map(*[F.lit(v) for k in labels for v in (k, min(1.0, per_label / counts[k]))])
     rank = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(rank < F.element_at(share, F.col("label")))
+    sample = rows.where(rank < F.element_at(share, F.col("label"))).dropDuplicates(["label", "key"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,10 +182,10 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
                 full = np.flatnonzero(used == used.max()) if len(used) else used
                 pick = full[np.unique(np.linspace(0, len(full) - 1, windows_per_doc).astype(int))] if len(full) else full
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.column("key").to_pylist() * len(pick), pa.string()), pa.array(part.column("label").to_pylist() * len(pick), pa.string()),
+                    [pa.array(part.column("key").to_pylist() * len(pick), pa.int64()), pa.array(part.column("label").to_pylist() * len(pick), pa.string()),
                      pa.array([windows[p].tobytes() for p in pick], pa.binary())], ["key", "label", "bytes"])
 
-    got = sorted((r["label"], r["key"] or "", bytes(r["bytes"])) for r in sample.mapInArrow(tidy(cut), "key string, label string, bytes binary").toLocalIterator())
+    got = sorted((r["label"], r["key"], bytes(r["bytes"])) for r in sample.mapInArrow(tidy(cut), "key long, label string, bytes binary").toLocalIterator())
     labels = sorted({g[0] for g in got})
     if not got:
         return None
@@ -194,7 +195,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
 
 
 def predict(df: DataFrame, model: ByteCNN | None, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Add the predicted label and its probability; reads nothing but the text."""
+    """Add the predicted label and its probability; reads nothing but the text. Columns called like them are replaced."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = model.predictor() if model else None
         for batch in batches:
@@ -215,6 +216,7 @@ def predict(df: DataFrame, model: ByteCNN | None, text: str = "text", label: str
                 scores[i:j][known] = np.clip(total[np.arange(j - i), best][known], 0, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores)], [*batch.schema.names, label, score])
 
+    df = without(df, [label, score], [text])
     return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())]))
 
 

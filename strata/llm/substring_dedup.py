@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_WORD, prefix, span_hash, text_bytes, words
+from .common import SPACE_WORD, prefix, span_hash, text_bytes, words, without
 from .decontaminate import covered
 from .fm_index import FMIndex
 from .repeats import Repeats, run
@@ -123,4 +123,5 @@ def dedup(docs: DataFrame, width: int = WIDTH, text: str = "text", doc: str = "d
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     if kept:
         added.append(T.StructField(kept, T.StringType()))
+    docs = without(docs, [f.name for f in added], [text, doc])
     return run(docs.withColumn(text, F.col(text).cast("string")), WordRepeats(width, kept, text), added, text, doc, **options)

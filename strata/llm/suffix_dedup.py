@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SYMBOLS, prefix, span_hash, text_bytes
+from .common import SYMBOLS, prefix, span_hash, text_bytes, without
 from .decontaminate import covered
 from .repeats import Repeats, run
 
@@ -225,4 +225,5 @@ def dedup(docs: DataFrame, width: int = WIDTH, text: str = "text", doc: str = "d
              T.StructField("kept_sha256", T.StringType())]
     if kept:
         added.append(T.StructField(kept, T.StringType()))
+    docs = without(docs, [f.name for f in added], [text, doc])
     return run(docs.withColumn(text, F.col(text).cast("string")), SuffixRepeats(width, kept, text), added, text, doc, **options)

@@ -21,11 +21,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, without
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 #: Bound of the labelled sample that the trees are trained on.
 MAX_TRAINING = 50_000
+#: Columns that judging makes besides the features; an input column called like one, whatever its case, is replaced.
+MADE = ["host", "path", "rule", "verdict", "p_block", "label", "suffix", "features", "rawPrediction", "probability", "prediction"]
 FEATURES = ["n_url", "n_host", "n_path", "n_labels", "depth", "digit_ratio", "entropy", "n_params", "n_marks", "has_fragment", "suffix_rate", "suffix_seen"]
 
 
@@ -110,8 +112,7 @@ def train(labelled: DataFrame, max_rows: int = MAX_TRAINING, trees: int = 20, de
 
 def judge(urls: DataFrame, url: str = "url", rules: list[tuple[str, str]] = RULES, **options) -> DataFrame:
     """Add host, path, rule, verdict and p_block (null where a rule decides)."""
-    taken = set(urls.columns) & {"host", "path", "rule", "verdict", "p_block", "label", "suffix", *FEATURES} - {url}
-    base = urls.drop(*taken)
+    base = without(urls, [*MADE, *FEATURES], [url])
     host, path = host_and_path(F.col(url))
     parsed = base.withColumns({"host": host, "path": path})
     ruled = parsed.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))

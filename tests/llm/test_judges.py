@@ -183,3 +183,24 @@ def test_pipeline_keeps_documents_that_only_hash_alike(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     stages = dict(corpus_pipeline.STAGES)
     assert {r.doc_id for r in stages["near_dedup"](spark, docs, str(tmp_path)).collect()} == {0, 1}
+
+
+def test_a_label_of_copies_and_repeated_ids_is_learned(spark):
+    """Thousands of rows of one id, and a text that holds most rows of a label, neither lose a label nor flood the sample."""
+    rows = [(1, f"aaa aa aaaa {i} aa", "aa") for i in range(3000)] + [(i, "bbb bb bbbb bb", "bb") for i in range(3000)] + [(i, f"bb b{i} bbb", "bb") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language_id.fit(docs, per_label=50, epochs=1) if "epochs" in language_id.train.__code__.co_varnames else language_id.fit(docs, per_label=50)
+    assert model.labels == ["aa", "bb"]
+
+
+def test_results_replace_columns_of_their_names_in_any_case(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/es/1", 1.0, 2.0, 3.0, "h"), (2, "http://y.org/", 1.0, 2.0, 3.0, "h")],
+                                  "page_id long, url string, features double, prediction double, rawPrediction double, HOST string")
+    out = url_filter.judge(pages, trees=2)
+    assert [c for c in out.columns if c.lower() == "host"] == ["host"] and {r.host for r in out.collect()} == {"x.net", "y.org"}
+    from strata.llm import bpe, suffix_dedup
+    docs = spark.createDataFrame([(1, "some text", 5, "x", "y", 1.0, "z")], "doc_id long, text string, N_BYTES int, IDS string, Decoded string, Score double, lang_pred string")
+    assert suffix_dedup.dedup(docs).select("n_bytes").first()[0] == 9
+    coded = bpe.decode(bpe.encode(docs))
+    assert bytes(coded.first().decoded) == b"some text" and [c.lower() for c in coded.columns].count("ids") == 1
+    assert language_id.predict(docs, None).first().lang_pred == "und"
