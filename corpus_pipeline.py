@@ -115,11 +115,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each result is written to the shared folder and read again.
+
+    A stage's copy is deleted once the next one's is written; the last one stays, the returned rows are read from it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         made = stage(spark, docs, sf_dir)
         path = stage_path(spark, f"pipeline-{name}")
         made.write.parquet(path)
         docs = spark.read.schema(made.schema).parquet(path)
+        delete_folders(spark, [*before, *_STAGED])
+        before, _STAGED[:] = [path], []
     return docs
