@@ -3,7 +3,8 @@
 The vocabulary's ranks become the pieces of a sentencepiece BPE model: each
 token's bytes are mapped to 256 printable characters, its score is the negative
 rank, and the normaliser is the identity. No tokenizer is trained. A text is cut
-into pre-tokens by ``pattern``; each pre-token's byte-mapped form is encoded by
+into pre-tokens by ``pattern``, with the character classes of the tokenizer
+libraries; each pre-token's byte-mapped form is encoded by
 sentencepiece, and ids are decoded by the inverse mapping of id to bytes.
 
 Null or empty text gives no ids and empty decoded bytes. Rows are mapped one to
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import tidy, without
-from .pretokens import PieceEncoder, id_values, joined, slices, with_columns
+from .pretokens import PieceEncoder, Splitter, id_values, joined, slices, with_columns
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of text encoded at a time, and pieces remembered within a task: both bound memory only.
@@ -71,7 +72,6 @@ class ByteBPE:
     """Encoder and decoder of one vocabulary; build once per worker with :func:`codec`."""
 
     def __init__(self, path: str, pattern: str):
-        import regex
         from sentencepiece import SentencePieceProcessor
 
         self.tokens = read_ranks(path)
@@ -79,7 +79,7 @@ class ByteBPE:
         self.chars = {b: c for b, c in enumerate(byte_characters())}
         self.whole_token = {t: i for i, t in enumerate(self.tokens)}
         self.token_bytes = pa.array(self.tokens, type=pa.large_binary())
-        self.split = regex.compile(pattern).findall
+        self.split = Splitter(pattern)
         self.forget()
 
     def forget(self) -> None:

@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -32,6 +33,64 @@ def spaced(text: str) -> bool:
     return text.isascii() or not _WIDE_SPACE.search(text)
 
 
+def _members(text: str) -> np.ndarray:
+    found = np.zeros(0x110000, bool)
+    found[np.frombuffer(text.encode("utf-32-le"), "<u4")] = True
+    return found
+
+
+def stand_ins(pattern: str) -> dict[int, int]:
+    """Code points that the ``regex`` package and the tokenizer libraries class differently, each with one to cut in its place.
+
+    Python's ``regex`` follows another Unicode version than the libraries. Every class that ``pattern`` names is
+    asked of both over all code points; the stand-in lies, for both, in the classes that the libraries see.
+    """
+    import regex
+    import tiktoken
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    byte = {bytes([i]): i for i in range(256)}
+    ours, theirs = np.zeros(0x110000, np.int64), np.zeros(0x110000, np.int64)
+    for k, name in enumerate(sorted({n.lower() if len(n) == 2 else n.replace("P", "p", 1).replace("^", "") for n in re.findall(r"\\[pP]\{[^}]+\}|\\[pP]\w|\\[sSwWdD]", pattern)})):
+        probe = tiktoken.Encoding("probe", pat_str=name, mergeable_ranks=byte, special_tokens={})
+        ours |= _members("".join(regex.findall(name + "+", every))).astype(np.int64) << k
+        theirs |= _members(bytes(probe.encode_ordinary(every)).decode()).astype(np.int64) << k
+    apart = np.flatnonzero(ours != theirs)
+    agreed = ours == theirs
+    agreed[:128] = agreed[0xD800:0xE000] = False
+    agreed[[ord(c) for c in pattern]] = False
+    for_classes = {}
+    for seen in np.unique(theirs[apart]).tolist():
+        fit = np.flatnonzero(agreed & (theirs == seen))
+        if not len(fit):
+            raise ValueError(f"no character stands for the classes of U+{int(apart[theirs[apart] == seen][0]):04X}")
+        for_classes[seen] = int(fit[0])
+    return {int(c): for_classes[int(theirs[c])] for c in apart}
+
+
+class Splitter:
+    """Cuts a string into the matches of ``pattern`` as the tokenizer libraries do; unmatched text is left out."""
+
+    def __init__(self, pattern: str):
+        import regex
+
+        compiled = regex.compile(pattern)
+        self.find, self.whole = compiled.finditer, None if compiled.groups else compiled.findall
+        self.swap = stand_ins(pattern)
+        self.rare = re.compile("[" + "".join(map(re.escape, map(chr, self.swap))) + "]") if self.swap else None
+        #: the short cuts at spaces, words and marks hold for this pattern alone
+        self.by_space = pattern == public_tokenizers.PATTERN
+
+    def odd(self, text: str) -> bool:
+        """True if ``text`` holds a code point that needs a stand-in."""
+        return self.rare is not None and not text.isascii() and self.rare.search(text) is not None
+
+    def __call__(self, text: str) -> list[str]:
+        if self.odd(text):
+            return [text[m.start():m.end()] for m in self.find(text.translate(self.swap))]
+        return self.whole(text) if self.whole else [m.group() for m in self.find(text)]
+
+
 class Memo:
     """key -> ids as little-endian unsigned 32-bit bytes, kept from batch to batch.
 
@@ -59,7 +118,7 @@ class Memo:
 class PieceEncoder:
     """Encodes columns of texts. ``split`` cuts a string into pre-tokens; ``encode_many`` gives each pre-token's ids as bytes."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[bytes]], remembered: int = 250_000):
+    def __init__(self, split: Splitter, encode_many: Callable[[list[str]], list[bytes]], remembered: int = 250_000):
         self.split, self.encode_many = split, encode_many
         self.pieces, self.tokens = Memo(remembered), Memo(remembered)
 
@@ -80,7 +139,7 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of each text (none for null or empty) as little-endian unsigned 32-bit integers, one binary value per text."""
         strings = texts.to_pylist()
-        split = np.array([bool(t) and spaced(t) for t in strings], bool)
+        split = np.array([self.split.by_space and bool(t) and spaced(t) and not self.split.odd(t) for t in strings], bool)
         whole = self._encode_cut([self.split((t or "") if not s else t.split(" ", 1)[0]) for t, s in zip(strings, split, strict=True)])
         later = [t.split(" ", 1)[1] if s and " " in t else None for t, s in zip(strings, split, strict=True)]
         lists = pc.split_pattern(pa.array(later, pa.string()), " ")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .bpe import byte_characters
 from .common import stage, stage_path, tidy
-from .pretokens import PieceEncoder, id_values, slices
+from .pretokens import PieceEncoder, Splitter, id_values, slices
 
 MAGIC = b"PLANES01"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,7 +56,6 @@ class Tokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import re
 
-        import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -71,7 +70,7 @@ class Tokens:
             raise ValueError("added tokens that take spaces or need word boundaries are not supported")
         self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in known.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
-        self.pieces = PieceEncoder(regex.compile(pattern).findall, self._many)
+        self.pieces = PieceEncoder(Splitter(pattern), self._many)
 
     def _many(self, tokens: list[str]) -> list[bytes]:
         """Ids of pre-tokens: the library's byte-level form, then its merges."""

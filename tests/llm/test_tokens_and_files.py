@@ -47,6 +47,39 @@ def test_ids_equal_the_libraries(tiktoken_ids, library_ids):
     assert ours.decode(first).to_pylist() == [t.encode() for t in texts]
 
 
+def test_every_code_point_is_cut_as_the_libraries_do(tiktoken_ids, library_ids):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x30000 or c >= 0xE0000 or c % 97 == 0)]
+    texts = [f"a{chr(c)}'s b" for c in points]
+    first = bpe.codec(bpe.VOCABULARY, public_tokenizers.PATTERN).encode(pa.array(texts)).to_pylist()
+    second = token_store.tokens(token_store.VOCABULARY, public_tokenizers.PATTERN).encode(pa.array(texts)).to_pylist()
+    assert first == second
+    rare = set(pretokens.stand_ins(public_tokenizers.PATTERN))
+    assert 0x558 in rare and len(rare) > 10_000
+    for c, text, a in zip(points, texts, first, strict=True):
+        if c in rare or c % 20 == 0:
+            got = np.frombuffer(a, "<u4").tolist()
+            assert got == tiktoken_ids(text) and (c % 10 or got == library_ids(text)), text
+
+
+def test_rare_code_points_among_words(tiktoken_ids, library_ids):
+    rng = random.Random(2)
+    parts = [chr(c) for c in (0x558, 0x88F, 0xC5C, 0x208F, 0xA7CE, 0x107BB)] + list("ab1 \n\té½.'") + ["'ll", " the", "  "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(2000)]
+    first = bpe.codec(bpe.VOCABULARY, public_tokenizers.PATTERN).encode(pa.array(texts)).to_pylist()
+    second = token_store.tokens(token_store.VOCABULARY, public_tokenizers.PATTERN).encode(pa.array(texts)).to_pylist()
+    for text, a, b in zip(texts, first, second, strict=True):
+        assert np.frombuffer(a, "<u4").tolist() == tiktoken_ids(text) and np.frombuffer(b, "<u4").tolist() == library_ids(text), text
+
+
+@pytest.mark.parametrize("pattern", [r"\s+|\S+", r"(a|th)e?|\p{Lu}\p{Ll}*|.", r"\w+|\W"])
+def test_other_patterns(pattern):
+    import tiktoken
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(bpe.read_ranks(bpe.VOCABULARY))}, special_tokens={})
+    texts = [*odd_texts(300), "the cat, Überall  \u0558x \u0c5c's", ""]
+    got = bpe.codec(bpe.VOCABULARY, pattern).encode(pa.array(texts)).to_pylist()
+    assert [np.frombuffer(v, "<u4").tolist() for v in got] == list(map(theirs.encode_ordinary, texts))
+
+
 def test_memo_limit_changes_nothing(tiktoken_ids):
     made = bpe.ByteBPE(bpe.VOCABULARY, public_tokenizers.PATTERN)
     made.pieces.pieces, made.pieces.tokens = pretokens.Memo(3, 4), pretokens.Memo(2, 4)
