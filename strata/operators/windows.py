@@ -236,8 +236,8 @@ def seasonal_decompose(df: DataFrame, keys: Sequence[str], t: str, value: str,
       centred to sum to zero over the phases;
     * resid = value − trend − seasonal.
 
-    This re-aims a robust LOESS decomposition of a single series (a
-    single-machine solver) as one windowed pass over all series.
+    One windowed pass over all series; ``decompose.robust_decompose`` is the
+    robust decomposition by local regression.
     """
     v = _q(value)
     w = series_window(keys, t)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strata import spec
 from strata.operators import aggregates as A
 from strata.operators import columns as C
+from strata.operators import decompose as D
 from strata.operators import gaps as G
 from strata.operators import joins as J
 from strata.operators import ordering as O
@@ -378,6 +379,12 @@ def _(spark, d):
     return A.anomaly_rows(FX.quarterly_series_table(spark, d, WAGE), QK, T, WAGE, 2.0, spec.ANOMALY_MIN_ROWS)
 
 
+@q("anomaly_years_wage")
+def _(spark, d):
+    a = A.anomaly_rows(FX.quarterly_series_table(spark, d, WAGE), QK, T, WAGE, 2.0, spec.ANOMALY_MIN_ROWS)
+    return A.anomaly_years(a, QK, T)
+
+
 def _excluded(spark, d, narrow=True):
     columns = (*QK, T, "year", VPK) if narrow else ()
     full = G.complete_panel(FX.quarterly_mart_holed_table(spark, d, *columns), QK, T, spec.FIXTURE_PANEL_START, 3)
@@ -478,6 +485,11 @@ def _(spark, d):
     return W.seasonal_decompose(_display_series(spark, d), QK, T, VPK, spec.QUARTER_PERIOD)
 
 
+@q("robust_decompose")
+def _(spark, d):
+    return D.robust_decompose(_display_series(spark, d), QK, T, VPK, spec.QUARTER_PERIOD)
+
+
 # ---------------------------------------------------------- 2.6 sorts, top-k
 @q("sort_limit")
 def _(spark, d):

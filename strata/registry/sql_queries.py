@@ -151,6 +151,12 @@ FROM mart_quarterly
 JOIN (SELECT geo, naics, avg(avg_offered_hourly_wage) AS m, stddev_samp(avg_offered_hourly_wage) AS sd
       FROM mart_quarterly GROUP BY geo, naics HAVING count(*) >= 12) s USING (geo, naics)
 WHERE sd > 0 AND abs(avg_offered_hourly_wage - m) > 2 * sd""", "mart_quarterly")
+SQL["anomaly_years_wage"] = with_("""
+SELECT DISTINCT geo, naics, CAST(extract(year FROM date_parsed) AS INTEGER) AS year
+FROM mart_quarterly
+JOIN (SELECT geo, naics, avg(avg_offered_hourly_wage) AS m, stddev_samp(avg_offered_hourly_wage) AS sd
+      FROM mart_quarterly GROUP BY geo, naics HAVING count(*) >= 12) s USING (geo, naics)
+WHERE sd > 0 AND abs(avg_offered_hourly_wage - m) > 2 * sd""", "mart_quarterly")
 SQL["anomaly_rows"] = with_("SELECT * FROM anomalies", "anomalies")
 SQL["anomaly_years"] = with_("SELECT DISTINCT geo, naics, CAST(year(date_parsed) AS INTEGER) AS year FROM anomalies", "anomalies")
 SQL["series_gap_profile"] = with_("SELECT * FROM gap_profile", "gap_profile")

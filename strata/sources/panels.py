@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import spec
+from strata.operators.joins import bounded_broadcast
 from strata.sources.io import read_driver_table
 
 NATION_MAX_ROWS = 10_000
@@ -42,24 +43,9 @@ def _period(ts: str, unit: str) -> Column:
     return F.to_date(F.date_trunc(unit, F.col(ts)))
 
 
-_SMALL_CHECKED: dict[tuple, bool] = {}
-
-
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation dimension, broadcast after a (memoised) row-count check."""
-    import os
-    n = read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    path = f"{sf_dir.rstrip('/')}/nation.parquet"
-    try:
-        key = (path, os.path.getmtime(path))
-    except OSError:          # not a local path: check every time
-        key = None
-    if key is not None and key in _SMALL_CHECKED:
-        return F.broadcast(n) if _SMALL_CHECKED[key] else n
-    small = n.limit(NATION_MAX_ROWS + 1).count() <= NATION_MAX_ROWS
-    if key is not None:
-        _SMALL_CHECKED[key] = small
-    return F.broadcast(n) if small else n
+    """The nation dimension, broadcast after a check of its rows and bytes."""
+    return bounded_broadcast(read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
