@@ -8,7 +8,7 @@ tokenizer, and Arrow gathers the ids back per text.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -16,23 +16,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _ASCII_TOUCH = tuple(a + b for a, b in [("", "  ")] + [(w, " ") for w in "\t\n\v\f\r"] + [(" ", w) for w in "\t\n\v\f\r"])
-_WIDE_SPACE = re.compile("[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_WIDE_SPACES = "\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
 #: A mark after a word is a pre-token of its own.
 _MARKS = (".", ",", ";", ":", "?", "!")
 
 
-def spaced(text: str) -> bool:
-    """True if every space of ``text`` stands between non-space characters or at its ends.
-
-    Then a pre-token starts at each space, so the pieces cut there can be encoded on their own.
-    """
-    if any(t in text for t in _ASCII_TOUCH):
-        return False
-    return text.isascii() or not _WIDE_SPACE.search(text)
-
-
 def _members(text: str) -> np.ndarray:
     found = np.zeros(0x110000, bool)
     found[np.frombuffer(text.encode("utf-32-le"), "<u4")] = True
@@ -68,6 +58,16 @@ def stand_ins(pattern: str) -> dict[int, int]:
     return {int(c): for_classes[int(theirs[c])] for c in apart}
 
 
+def _ranges(points: Iterable[int]) -> str:
+    """The body of a character class with these code points, neighbours as ranges."""
+    c = np.array(sorted(points), np.int64)
+    if not len(c):
+        return ""
+    gap = np.flatnonzero(np.diff(c) != 1)
+    first, last = c[np.append(0, gap + 1)], c[np.append(gap, len(c) - 1)]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first.tolist(), last.tolist(), strict=True))
+
+
 class Splitter:
     """Cuts a string into the matches of ``pattern`` as the tokenizer libraries do; unmatched text is left out."""
 
@@ -77,13 +77,26 @@ class Splitter:
         compiled = regex.compile(pattern)
         self.find, self.whole = compiled.finditer, None if compiled.groups else compiled.findall
         self.swap = stand_ins(pattern)
-        self.rare = re.compile("[" + "".join(map(re.escape, map(chr, self.swap))) + "]") if self.swap else None
+        ranges = _ranges(self.swap)
+        self.rare = re.compile(f"[{ranges}]") if ranges else None
+        # one bitmap look-up a character: what is not in here is neither rare nor a wide space
+        self.suspect = re.compile("[" + _WIDE_SPACES + _ranges(c for c in self.swap if c < 0x10000) + "\\U00010000-\\U0010ffff]")
+        self.wide_space = re.compile(f"[{_WIDE_SPACES}]")
         #: the short cuts at spaces, words and marks hold for this pattern alone
         self.by_space = pattern == public_tokenizers.PATTERN
 
     def odd(self, text: str) -> bool:
         """True if ``text`` holds a code point that needs a stand-in."""
-        return self.rare is not None and not text.isascii() and self.rare.search(text) is not None
+        return self.rare is not None and not text.isascii() and self.suspect.search(text) is not None and self.rare.search(text) is not None
+
+    def cut_at_spaces(self, text: str) -> bool:
+        """True if every space of ``text`` stands between non-space characters or at its ends, and no point is rare.
+
+        Then a pre-token starts at each space, so the pieces cut there can be encoded on their own.
+        """
+        if not self.by_space or any(t in text for t in _ASCII_TOUCH):
+            return False
+        return text.isascii() or not self.suspect.search(text) or not (self.wide_space.search(text) or self.odd(text))
 
     def __call__(self, text: str) -> list[str]:
         if self.odd(text):
@@ -139,7 +152,7 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of each text (none for null or empty) as little-endian unsigned 32-bit integers, one binary value per text."""
         strings = texts.to_pylist()
-        split = np.array([self.split.by_space and bool(t) and spaced(t) and not self.split.odd(t) for t in strings], bool)
+        split = np.array([bool(t) and self.split.cut_at_spaces(t) for t in strings], bool)
         whole = self._encode_cut([self.split((t or "") if not s else t.split(" ", 1)[0]) for t, s in zip(strings, split, strict=True)])
         later = [t.split(" ", 1)[1] if s and " " in t else None for t, s in zip(strings, split, strict=True)]
         lists = pc.split_pattern(pa.array(later, pa.string()), " ")
