@@ -29,6 +29,7 @@ ROLL = 7
 SMALLEST = 8
 CHUNKS = 64
 RUN = 4
+HEAD = 16
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _SYMBOLS = mix(np.arange(1, 257, dtype=U64))
 _ROLLING = (_SYMBOLS & U64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1)
@@ -153,8 +154,9 @@ def _rows(results: list[tuple], role: str | None = None, part: int | None = None
 def compare_in_order(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fingerprint every document, its edited text and the next document in descending doc_id order.
 
-    The order is doc_id descending (null last, ties by text); the last document is followed by
-    the first. Documents are range-partitioned once. Within a partition each text meets the one
+    The order is doc_id descending (null last, ties by the text's first HEAD characters, then its
+    hash); the last document is followed by the first. Documents are range-partitioned once, by all
+    of that and the row, so no doc_id or text, however frequent, fills one task. Within a partition each text meets the one
     after it; the ends of partitions, two rows each, are joined with each other afterwards.
     """
     spark = docs.sparkSession
@@ -183,7 +185,9 @@ def compare_in_order(docs: DataFrame, partitions: int | None = None) -> DataFram
         if held:
             yield _rows([blank(held[0])], "last", part, held[1])
 
-    done = stage(slim.repartitionByRange(partitions, order).sortWithinPartitions(order, "text")
+    ties = {"_head": F.substring("text", 1, HEAD), "_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}
+    done = stage(slim.withColumns(ties).repartitionByRange(partitions, order, "_head", "_hash", "_row")
+                 .sortWithinPartitions(order, "_head", "_hash", "text").select("doc_id", "text")
                  .mapInArrow(tidy(run), f"{RESULT}, role string, part long, text string"), "fingerprints")
     parts = done.where("role = 'first'").select("part")
     after = parts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("next_part"))

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from strata.llm import bpe, fuzzy, pretokens, token_store, warc
+from strata.llm.common import stage
 
 
 @pytest.fixture(scope="module")
@@ -139,19 +140,81 @@ def test_token_files_of_nothing(no_docs):
     assert token_store.store_and_read(no_docs).count() == 0
 
 
+M32, M64 = (1 << 32) - 1, (1 << 64) - 1
+
+
+def mixed(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M64
+    return x ^ x >> 31
+
+
+def plain_fingerprint(text):
+    """The definition byte by byte: no shared sums, no other text beside it."""
+    symbol = [mixed(b + 1) for b in text]
+    block = 8
+    while block * 64 < len(text):
+        block *= 2
+    signatures = []
+    for size in (block, 2 * block):
+        out, begin = "", 0
+        for i in range(len(text)):
+            rolled = sum(pow(0x2C1B3C6D, k, 1 << 32) * (symbol[i - k] & M32 | 1) for k in range(7)) & M32 if i >= 6 else None
+            cut = rolled is not None and ((rolled ^ rolled >> 15) * 0x297A2D39 & M32) >> 9 & size - 1 == 0
+            if cut or i == len(text) - 1:
+                value, power = (i + 1 - begin) * 0xD1B54A32D192ED03, 1
+                for s in symbol[begin:i + 1]:
+                    value, power = value + s * power, power * 0x9E3779B97F4A7C15 & M64
+                out, begin = out + "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[mixed(value & M64) & 63], i + 1
+        signatures.append(out)
+    return (block, *signatures)
+
+
+def plain_likeness(x, y):
+    def alike(a, b):
+        if a == b:
+            return 1.0
+        run = min(4, len(a), len(b))
+        if not run or not any(a[i:i + run] in b for i in range(len(a) - run + 1)):
+            return 0.0
+        return 1 - (len(a) + len(b) - 2 * longest_common(a, b)) / (len(a) + len(b))
+
+    if x == y:
+        return 1.0
+    shared = [alike(a, b) for k, a in enumerate(x[1:]) for j, b in enumerate(y[1:]) if x[0] << k == y[0] << j]
+    return max(shared, default=0.0)
+
+
 def brute_fuzzy(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
-    texts = [t or "" for _, t in order]
+    texts, marks = [t or "" for _, t in order], {}
+    mark = lambda t: marks.setdefault(t, None) or marks.__setitem__(t, plain_fingerprint(t.encode())) or marks[t]
     for k, (i, _) in enumerate(order):
         text, after = texts[k], texts[(k + 1) % len(texts)]
-        changed = fuzzy.edited(text, after)
-        a, b, c = (fuzzy.fingerprints([t.encode()])[0] for t in (text, changed, after))
-        yield i, len(text), hashlib.sha256(changed.encode()).hexdigest(), a, b, fuzzy.likeness(a, b), fuzzy.likeness(a, c)
+        third = len(text) // 3
+        changed = text[:len(text) - third] + after[:third]
+        a, b, c = mark(text), mark(changed), mark(after)
+        yield (i, len(text), hashlib.sha256(changed.encode()).hexdigest(), "%d:%s:%s" % a, "%d:%s:%s" % b,
+               round(plain_likeness(a, b), 12), round(plain_likeness(a, c), 12))
 
 
 @pytest.mark.parametrize("partitions", [1, 4])
 def test_fingerprints_in_order(odd_docs, odd_rows, partitions):
-    assert Counter(map(tuple, fuzzy.compare_in_order(odd_docs, partitions).collect())) == Counter(brute_fuzzy(odd_rows))
+    got = [(*r[:5], round(r[5], 12), round(r[6], 12)) for r in fuzzy.compare_in_order(odd_docs, partitions).collect()]
+    assert Counter(got) == Counter(brute_fuzzy(odd_rows))
+
+
+def test_a_frequent_doc_id_is_split(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = [(None, "the same text again")] * 300 + [(7, "the same text again")] * 300 + [(i, f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    staged = []
+    monkeypatch.setattr(fuzzy, "stage", lambda d, name: staged.append(stage(d, name)) or staged[-1])
+    out = fuzzy.compare_in_order(df, 6)
+    tasks = {r.part: r.n for r in staged[0].where("role = 'first'").groupBy("part").agg(F.count("*").alias("n")).collect()}
+    assert len(tasks) == 6
+    got = out.collect()
+    assert len(got) == 900 and {r.near_next for r in got if r.doc_id is None} == {1.0, fuzzy.likeness(*fuzzy.fingerprints([b"the same text again", b"text 299"]))}
 
 
 def test_fingerprints_of_few(spark, no_docs):
