@@ -30,7 +30,7 @@ from .pretokens import PieceEncoder, Splitter, id_values, joined, slices, with_c
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of text encoded at a time, and pieces remembered within a task: both bound memory only.
-SLICE, REMEMBERED = 2 << 20, 100_000
+SLICE, REMEMBERED = 2 << 20, 200_000
 
 
 def byte_characters() -> list[str]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -118,47 +119,52 @@ class Memo:
         out = list(map(self.known.get, keys))
         missing = [i for i, v in enumerate(out) if v is None]
         if missing:
-            fresh = [keys[i] for i in missing]
-            room = self.limit - len(self.known)
-            for i, key, value in zip(missing, fresh, encode_many(fresh), strict=True):
+            asked = [keys[i] for i in missing]
+            found = encode_many(asked)
+            for i, value in zip(missing, found, strict=True):
                 out[i] = value
-                if room > 0 and len(key) <= self.longest:
-                    self.known[key] = value
-                    room -= 1
+            short = ((k, v) for k, v in zip(asked, found, strict=True) if len(k) <= self.longest)
+            self.known.update(islice(short, max(0, self.limit - len(self.known))))
         return out
 
 
 class PieceEncoder:
     """Encodes columns of texts. ``split`` cuts a string into pre-tokens; ``encode_many`` gives each pre-token's ids as bytes."""
 
-    def __init__(self, split: Splitter, encode_many: Callable[[list[str]], list[bytes]], remembered: int = 250_000):
+    def __init__(self, split: Splitter, encode_many: Callable[[list[str]], list[bytes]], remembered: int = 900_000):
         self.split, self.encode_many = split, encode_many
-        self.pieces, self.tokens = Memo(remembered), Memo(remembered)
+        self.memo = Memo(remembered)
 
     def _cut(self, piece: str) -> list[str]:
         """Pre-tokens of a space and what follows it; words, and words with one mark after them, need no pattern."""
         body = piece[1:]
-        if body.isalpha():
-            return [piece]
         if body[-1:] in _MARKS and body[:-1].isalpha():
             return [piece[:-1], piece[-1]]
         return self.split(piece)
 
-    def _encode_cut(self, cut: list[list[str]]) -> list[bytes]:
-        distinct = list({t for c in cut for t in c})
-        ids = dict(zip(distinct, self.tokens.values(distinct, self.encode_many), strict=True))
+    def _encode_cut(self, cut: list[list[str]], known: dict[str, bytes]) -> list[bytes]:
+        distinct = list({t for c in cut for t in c if t not in known})
+        ids = {**known, **dict(zip(distinct, self.memo.values(distinct, self.encode_many), strict=True))}
         return [ids[c[0]] if len(c) == 1 else b"".join([ids[t] for t in c]) for c in cut]
 
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Words are pre-tokens themselves; the others are cut, and their words mostly known by then."""
+        words = [p for p in pieces if p[1:].isalpha()]
+        known = dict(zip(words, self.encode_many(words), strict=True))
+        others = [p for p in pieces if p not in known]
+        known.update(zip(others, self._encode_cut(list(map(self._cut, others)), known), strict=True))
+        return list(map(known.__getitem__, pieces))
+
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of each text (none for null or empty) as little-endian unsigned 32-bit integers, one binary value per text."""
         strings = texts.to_pylist()
         split = np.array([bool(t) and self.split.cut_at_spaces(t) for t in strings], bool)
-        whole = self._encode_cut([self.split((t or "") if not s else t.split(" ", 1)[0]) for t, s in zip(strings, split, strict=True)])
+        whole = self._encode_cut([self.split((t or "") if not s else t.split(" ", 1)[0]) for t, s in zip(strings, split, strict=True)], {})
         later = [t.split(" ", 1)[1] if s and " " in t else None for t, s in zip(strings, split, strict=True)]
         lists = pc.split_pattern(pa.array(later, pa.string()), " ")
         coded = lists.flatten().dictionary_encode()
         pieces = [" " + p for p in coded.dictionary.to_pylist()]
-        values = pa.array(self.pieces.values(pieces, lambda ps: self._encode_cut(list(map(self._cut, ps)))) + whole, pa.binary())
+        values = pa.array(self.memo.values(pieces, self._encode_pieces) + whole, pa.binary())
         counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(counts)
         # each text's own head or whole encoding stands before its later pieces

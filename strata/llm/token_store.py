@@ -41,6 +41,8 @@ from .pretokens import PieceEncoder, Splitter, id_values, slices
 
 MAGIC = b"PLANES01"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: Characters of a text by which rows of one doc_id are dealt to files.
+HEAD = 64
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -78,6 +80,8 @@ class Tokens:
         return [array("I", [t.id for t in model.tokenize(level(token))]).tobytes() for token in tokens]
 
     def level(self, token: str) -> str:
+        if token.isascii() and token.isprintable():  # of these only the space is shown as another character
+            return token.replace(" ", self.chars[32])
         return token.encode().decode("latin-1").translate(self.chars)
 
     def encode(self, texts: pa.Array, added: bool = False) -> pa.Array:
@@ -251,8 +255,10 @@ def write_ids(docs: DataFrame, folder: str, partitions: int | None = None, path:
             yield pa.RecordBatch.from_pylist([{"part": part, "path": uri, "n_docs": n_docs, "n_tokens": writer.total}],
                                              pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
+    # the rows of a frequent doc_id are spread by the beginnings of their texts
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text"))
+               .withColumn("_head", F.substring("text", 1, HEAD))
+               .repartitionByRange(partitions, "doc_id", "_head").sortWithinPartitions("doc_id", "text").drop("_head"))
     return stage(ordered.mapInArrow(tidy(run), MANIFEST), "token-manifest")
 
 

@@ -82,7 +82,7 @@ def test_other_patterns(pattern):
 
 def test_memo_limit_changes_nothing(tiktoken_ids):
     made = bpe.ByteBPE(bpe.VOCABULARY, public_tokenizers.PATTERN)
-    made.pieces.pieces, made.pieces.tokens = pretokens.Memo(3, 4), pretokens.Memo(2, 4)
+    made.pieces.memo = pretokens.Memo(3, 4)
     texts = ["the cat sat on the mat, the end", "cat the mat"]
     for _ in range(2):
         assert [np.frombuffer(v, "<u4").tolist() for v in made.encode(pa.array(texts)).to_pylist()] == list(map(tiktoken_ids, texts))
