@@ -7,7 +7,7 @@ small records move between tasks:
    with its count and smallest doc_id, and deal the records by minimizer;
 2. count: a minimizer seen once cannot repeat and gets no answer. One whose segments
    are all alike is settled by their count. Where segments differ, one pack is asked
-   for each distinct segment's content, all others wait for its result;
+   for each distinct segment's content, and all packs that have it wait for the result;
 3. send: the asked packs read their files and send those segments;
 4. resolve: the operator orders the segments' windows (suffix array or FM-index) and
    returns a value for each window, as runs;
@@ -181,7 +181,7 @@ def _by_pack(records: np.ndarray, owner: np.ndarray, names: list[str]) -> Iterat
             yield name, records[at[k]:at[k + 1]].tobytes()
 
 
-def count_records(records: np.ndarray, owner: np.ndarray, hot: int, by_doc: bool) -> tuple[np.ndarray, np.ndarray]:
+def count_records(records: np.ndarray, owner: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray]:
     """Answers to the records of one task, and the packs they go to."""
     order = np.lexsort((owner, records["digest"], records["key"]))
     records, owner = records[order], owner[order]
@@ -199,8 +199,7 @@ def count_records(records: np.ndarray, owner: np.ndarray, hot: int, by_doc: bool
     alone = (distinct == 1) & (total > 1)
     mixed = (distinct > 1) & ~is_hot
     code = np.where(is_hot, HOT, 0) | np.where(alone & ~is_hot, VALUE, 0)
-    settled = mixed & (n > 1) if not by_doc else np.zeros(len(n), bool)
-    code |= np.where(settled, VALUE, 0) | np.where(mixed & ~settled, WANT, 0) | np.where(mixed & new, SHIP, 0)
+    code |= np.where(mixed, WANT, 0) | np.where(mixed & new, SHIP, 0)
     out = np.zeros(len(records), ANSWER)
     for name in ("key", "digest"):
         out[name] = records[name]
@@ -431,7 +430,7 @@ def run(docs: DataFrame, op: Repeats, added: list[T.StructField], text: str = "t
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records, owner, names = _gather(batches, RECORD)
-        answers, owner = count_records(records, owner, hot, op.by_doc)
+        answers, owner = count_records(records, owner, hot)
         yield _table(list(_by_pack(answers, owner, names)), ["pack", "data"], [pa.string(), pa.binary()])
 
     counted = stage(packed.where("bucket >= 0").repartition(buckets, "bucket").mapInArrow(tidy(count), "pack string, data binary"), "counted")

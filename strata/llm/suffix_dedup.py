@@ -29,7 +29,7 @@ from .decontaminate import covered
 from .repeats import Repeats, run
 
 WIDTH = 200
-SHALLOW = 32
+SHALLOW = 64
 
 
 def words_at(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -40,10 +40,10 @@ def words_at(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def shallow_sort(raw: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def shallow_sort(raw: np.ndarray, at: np.ndarray, depth: int, buckets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes ordered by their first ``depth`` bytes (a multiple of eight), and where a new prefix begins.
 
-    Every open group picks a pivot character and is split into smaller, equal and larger ones;
+    ``buckets`` marks the firsts of groups that are sorted each on its own. Every open group picks a pivot character and is split into smaller, equal and larger ones;
     the equal part goes on with its next character. Groups advance together.
     """
     order = at.copy()
@@ -53,6 +53,8 @@ def shallow_sort(raw: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarra
     level = np.zeros(n, np.int64)  # bytes on which the group agrees
     if n:
         head[0] = True
+        if buckets is not None:
+            head |= buckets
     rng = np.random.default_rng(5)
     while True:
         starts = np.flatnonzero(head)
@@ -87,67 +89,63 @@ def shallow_sort(raw: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarra
 
 
 class BlindTrie:
-    """Orders distinct strings of one length: inner nodes keep only a depth and branching bytes, leaves the strings."""
+    """Orders strings of one length: inner nodes keep only a depth and branching bytes, leaves a string and all that equal it."""
 
-    def __init__(self, text: bytes):
-        self.root: object = text
+    def __init__(self, text: bytes, member: int):
+        self.root: object = [text, member]
 
-    def insert(self, text: bytes) -> None:
+    def insert(self, text: bytes, member: int) -> None:
         # blind search: follow branching bytes alone to some leaf
         node = self.root
-        while not isinstance(node, bytes):
+        while isinstance(node, tuple):
             depth, children = node
             node = children.get(text[depth]) or next(iter(children.values()))
-        at = next((i for i in range(0, len(text), 16) if text[i:i + 16] != node[i:i + 16]), len(text))
-        while at < len(text) and text[at] == node[at]:
-            at += 1
-        if at == len(text):
+        other = node[0]
+        if text == other:
+            node.append(member)
             return
-        other = node[at]
+        at = next(i for i in range(0, len(text), 16) if text[i:i + 16] != other[i:i + 16])
+        while text[at] == other[at]:
+            at += 1
         # the new branch goes where the searched path first passes that depth
-        parent, node = None, self.root
-        while not isinstance(node, bytes) and node[0] < at:
-            parent, node = node, node[1].get(text[node[0]])
-        if not isinstance(node, bytes) and node is not None and node[0] == at:
-            node[1][text[at]] = text
+        parent, node, leaf = None, self.root, [text, member]
+        while isinstance(node, tuple) and node[0] < at:
+            parent, node = node, node[1][text[node[0]]]
+        if isinstance(node, tuple) and node[0] == at:
+            node[1][text[at]] = leaf
             return
-        branch = (at, {other: node, text[at]: text})
+        branch = (at, {other[at]: node, text[at]: leaf})
         if parent is None:
             self.root = branch
         else:
             parent[1][text[parent[0]]] = branch
 
-    def ordered(self) -> list[bytes]:
+    def ordered(self) -> list[list[int]]:
+        """Members in the order of their strings, those of equal strings together."""
         out, todo = [], [self.root]
         while todo:
             node = todo.pop()
-            if isinstance(node, bytes):
-                out.append(node)
-            else:
+            if isinstance(node, tuple):
                 todo.extend(node[1][c] for c in sorted(node[1], reverse=True))
+            else:
+                out.append(node[1:])
         return out
 
 
 def deep_order(raw: bytes, members: list[int], depth: int, width: int) -> list[list[int]]:
     """A group that agrees on ``depth`` bytes, ordered by its first ``width`` bytes; equal strings stand together."""
-    leaves: dict[bytes, list[int]] = {}
-    for m in members:
-        leaves.setdefault(raw[m + depth:m + width], []).append(m)
-    if len(leaves) == 1:
-        return list(leaves.values())
-    texts = iter(leaves)
-    trie = BlindTrie(next(texts))
-    for t in texts:
-        trie.insert(t)
-    return [leaves[t] for t in trie.ordered()]
-
-
-def sort_windows(raw: np.ndarray, at: np.ndarray, width: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    trie = BlindTrie(raw[members[0] + depth:members[0] + width], members[0])
+    for m in members[1:]:
+        trie.insert(raw[m + depth:m + width], m)
+    return trie.ordered()
+
+
+def sort_windows(raw: np.ndarray, at: np.ndarray, width: int, shallow: int = SHALLOW, buckets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Window positions in the order of their ``width`` bytes, and which ones differ from their predecessor
-    (a longest common prefix below ``width``)."""
+    (a longest common prefix below ``width``). ``buckets`` marks where a group begins that is sorted on its own."""
     data = np.concatenate([raw, np.zeros(8, np.uint8)])
     shallow = min(shallow, width - width % 8)
-    order, head = shallow_sort(data, at, shallow)
+    order, head = shallow_sort(data, at, shallow, buckets)
     starts = np.flatnonzero(head)
     sizes = np.diff(np.append(starts, len(order)))
     text, out, new = raw.tobytes(), order.copy(), np.ones(len(order), bool)
@@ -182,19 +180,27 @@ class SuffixRepeats(Repeats):
         first = np.cumsum(sizes) - sizes
         segment = np.repeat(np.arange(len(sizes)), counts)
         at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        # equal windows have equal minimizers at equal places, so windows are sorted within (minimizer, distance to it)
+        sums = prefix(SYMBOLS[raw])
+        grams = np.flatnonzero(span_hash(sums, np.arange(len(raw) - self.k + 1), np.arange(self.k, len(raw) + 1))
+                               == np.repeat(sent["key"], sizes)[:len(raw) - self.k + 1])
+        place = grams[np.searchsorted(grams, first)]  # the minimizer is the first of its kind in a segment
+        minimizer = np.cumsum(np.append(True, sent["key"][1:] != sent["key"][:-1]))
+        bucket = minimizer[segment] * self.width + place[segment] - at
+        order = np.argsort(bucket, kind="stable")
+        begins = np.append(True, bucket[order][1:] != bucket[order][:-1])
+        shared = ~(begins & np.append(begins[1:], True))  # alone in its bucket, a window has nothing to be sorted with
+        order, begins = order[shared], begins[shared]
         value = sent["n"].astype(np.int64)[segment]
-        # a window whose hash stands alone here equals no other: its suffix needs no sorting
-        hashes = span_hash(prefix(SYMBOLS[raw]), at, at + self.width)
-        _, inverse, seen = np.unique(hashes, return_inverse=True, return_counts=True)
-        again = np.flatnonzero(seen[inverse] > 1)
-        if len(again):
-            which = np.full(len(raw), -1, np.int64)
+        if len(order):
+            which = np.zeros(len(raw), np.int64)
             which[at] = np.arange(len(at))
-            order, new = sort_windows(raw, at[again], self.width)
-            windows = which[order]
+            in_order, new = sort_windows(raw, at[order], self.width, buckets=begins)
+            windows = which[in_order]
             group = np.flatnonzero(new)
             total = np.add.reduceat(value[windows], group)
             value[windows] = np.repeat(total, np.diff(np.append(group, len(windows))))
+        value = np.minimum(value, 2)  # whether a window repeats is all that is asked
         return np.split(value, np.cumsum(counts)[:-1])
 
     def finish(self, batch, starts, counts, bounds):

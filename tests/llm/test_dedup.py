@@ -1,13 +1,14 @@
 """Near-duplicate and substring operators against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from strata.llm import minhash_forest, substring_dedup, suffix_dedup
+from strata.llm import minhash_forest, repeats, substring_dedup, suffix_dedup
 from strata.llm.common import chunks, text_bytes
 from strata.llm.fm_index import FMIndex, suffix_array
 from strata.llm.windows import segments, sliding_min
@@ -151,6 +152,41 @@ def test_sorted_windows_are_in_order():
     assert [a != b for a, b in zip(found[1:], found[:-1], strict=True)] == new[1:].tolist()
 
 
+def test_byte_windows_are_settled_by_their_order(monkeypatch):
+    """Every window that counts as repeated, of segments seen once, stood beside an equal one in the sorted order."""
+    text = "".join(random.Random(4).choices("ab", k=3000)).encode()
+    text += text[500:900] + b"x" + text[700:1000] + b"y" + text[500:640]
+    op, raw = suffix_dedup.SuffixRepeats(60), np.frombuffer(text, np.uint8)
+    found, _ = segments(*op.symbols(raw, np.array([0, len(raw)])), op.width, op.k)
+    first = np.unique(np.stack([found.key, found.digest]), axis=1, return_index=True)[1]  # each distinct segment is sent once
+    own = sorted(first.tolist(), key=lambda i: int(found.key[i]))
+    sent = np.zeros(len(own), repeats.SENT)
+    sent["key"], sent["n"] = found.key[own], 1
+    spans = [(int(found.start[i]), int(found.count[i])) for i in own]
+    contents = [raw[a:a + c + op.width - 1] for a, c in spans]
+    beside, whole = [], suffix_dedup.sort_windows
+
+    def counted(*args, **named):
+        order, new = whole(*args, **named)
+        beside.append(int((~new | np.append(~new[1:], False)).sum()))
+        return order, new
+
+    monkeypatch.setattr(suffix_dedup, "sort_windows", counted)
+    values = op.resolve(sent, contents)
+    windows = [bytes(c[i:i + op.width]) for c in contents for i in range(len(c) - op.width + 1)]
+    times = Counter(windows)
+    assert np.concatenate(values).tolist() == [min(times[w], 2) for w in windows]
+    assert sum(beside) == sum(times[w] > 1 for w in windows) > 0
+
+
+def test_segments_of_a_mixed_minimizer_wait_for_the_order():
+    records = np.zeros(3, repeats.RECORD)
+    records["key"], records["digest"], records["n"] = 7, [1, 1, 2], [4, 4, 1]
+    answers, _ = repeats.count_records(records, np.arange(3), 5000)
+    assert not (answers["code"] & repeats.VALUE).any() and (answers["code"] & repeats.WANT).all()
+    assert (answers["code"] & repeats.SHIP > 0).sum() == 2
+
+
 def test_equal_windows_share_minimizers():
     rng = np.random.default_rng(3)
     symbols = rng.integers(0, 1 << 60, 400).astype(np.uint64)
