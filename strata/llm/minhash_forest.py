@@ -20,7 +20,8 @@ copies never becomes all its pairs:
 
 Components are found by contracting edges towards the node of smaller rank. Ranks are
 hashes drawn anew each round (neighbours are sorted by id, so ids would make long chains in
-order), so the graph shrinks by a constant factor a round whatever its shape.
+order), so the graph shrinks by a constant factor a round whatever its shape. The last
+``REST`` edges, a bounded rest, are joined by one task instead of a tail of small rounds.
 
 Documents without words (null, empty or blank text) have no set and link with
 nothing. Rows that repeat a doc_id are documents of their own. A null doc_id counts as
@@ -48,6 +49,10 @@ SIZE = 96
 FURTHER = 4
 #: Signature agreement from which a pair is confirmed in the later passes: 4.5 standard deviations below PERCENT.
 AGREE = 53
+#: Edges between components from which on one task finishes a contraction.
+REST = 50_000
+#: Nodes for each task that writes an intermediate table, so that a small input is not cut into hundreds of tiny files.
+NODES_PER_TASK = 2_000
 #: Hash ranges whose counts order the shingles of over-full regions by frequency.
 RANKS = 1 << 18
 _RNG = np.random.default_rng(20240229)
@@ -235,29 +240,63 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     full = (pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
-    return full.select("a", "b", "x", "y").mapInArrow(tidy(run), "a binary, b binary").distinct()
+    return full.select("a", "b", "x", "y").mapInArrow(tidy(run), "a binary, b binary")
 
 
-def contract(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
+def stage_in(df: DataFrame, name: str, tasks: int | None) -> DataFrame:
+    """:func:`stage` written by ``tasks`` tasks at most (None: by as many as there are partitions)."""
+    return stage(df.coalesce(tasks) if tasks else df, name)
+
+
+def joined(edges: DataFrame) -> DataFrame:
+    """a and one node m of its component, for all nodes of a bounded number of edges, in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+        ends = pa.chunked_array([*table.column("a").chunks, *table.column("b").chunks], pa.binary()).combine_chunks().dictionary_encode()
+        at = ends.indices.to_numpy(zero_copy_only=False)
+        a, b, root = at[:len(at) // 2], at[len(at) // 2:], np.arange(len(ends.dictionary))
+        while True:
+            low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+            open_ = low != high
+            if not open_.any():
+                break
+            np.minimum.at(root, high[open_], low[open_])
+            while (root[root] != root).any():
+                root = root[root]
+        yield pa.RecordBatch.from_arrays([ends.dictionary, ends.dictionary.take(pa.array(root))], ["a", "m"])
+
+    return edges.coalesce(1).mapInArrow(tidy(run), "a binary, m binary")
+
+
+def contract(edges: DataFrame, labels: DataFrame | None, tasks: int | None = None, rest: int = REST) -> DataFrame:
     """Node and the component it belongs to after ``edges`` (a, b) between earlier components are joined.
 
     ``labels`` (node, label) holds earlier contractions; nodes in neither are components of their own.
+    ``edges`` is worked out once. Rounds go on until at most ``rest`` edges are left.
     """
+    edges = stage_in(edges.select("a", "b"), "edges", tasks)
+    left = edges.count()
+    if not left and labels is not None:
+        return labels
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
     fresh = nodes.select("node", F.col("node").alias("label"))
     if labels is not None:
         fresh = labels.unionByName(fresh.join(labels.select(F.col("label").alias("node")).distinct(), "node", "left_anti"))
-    labels, edges = stage(fresh, "labels"), stage(edges.select("a", "b"), "edges")
-    turn = 0
-    while edges.limit(1).count():
+    labels, turn = fresh, 0
+    while left:
         both = edges.union(edges.select("b", "a"))
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("rank"), F.col(c).alias("id"))
-        step = stage(both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["id"].alias("m")), "step")
+        whole = left <= rest
+        step = joined(edges) if whole else both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["id"].alias("m"))
+        step = stage_in(step, "step", tasks)
         turn += 1
-        labels = stage(labels.join(step, labels["label"] == step["a"], "left").select("node", F.coalesce("m", "label").alias("label")), "labels")
-        left = edges.join(step.withColumnRenamed("m", "ma"), "a")
-        right = left.join(step.select(F.col("a").alias("b"), F.col("m").alias("mb")), "b")
-        edges = stage(right.where("ma != mb").select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct(), "edges")
+        labels = stage_in(labels.join(step, labels["label"] == step["a"], "left").select("node", F.coalesce("m", "label").alias("label")), "labels", tasks)
+        if whole:
+            break
+        one = edges.join(step.withColumnRenamed("m", "ma"), "a")
+        two = one.join(step.select(F.col("a").alias("b"), F.col("m").alias("mb")), "b")
+        edges = stage_in(two.where("ma != mb").select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct(), "edges", tasks)
+        left = edges.count()
     return labels
 
 
@@ -282,14 +321,14 @@ def alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return marked.select("a", "b", "p", "q").mapInArrow(tidy(run), "a binary, b binary")
 
 
-def mixed_regions(members: DataFrame, labels: DataFrame, region: int) -> tuple[DataFrame, DataFrame]:
+def mixed_regions(members: DataFrame, labels: DataFrame, region: int, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Members (region, node, label) of regions that still hold several components, and the nodes (node, label) of
     those among them that have more than ``region`` nodes."""
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = stage(named.select("region", "node", "label"), "members")
+    named = stage_in(named.select("region", "node", "label"), "members", tasks)
     sizes = named.groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").drop("lo", "hi")
     mixed = named.join(sizes, "region")
-    return mixed.where(F.col("n") <= region).drop("n"), stage(mixed.where(F.col("n") > region).select("node", "label").distinct(), "overfull")
+    return mixed.where(F.col("n") <= region).drop("n"), stage_in(mixed.where(F.col("n") > region).select("node", "label").distinct(), "overfull", tasks)
 
 
 def rarest_first(full: DataFrame) -> np.ndarray:
@@ -327,7 +366,7 @@ def prefixes(full: DataFrame) -> DataFrame:
     return full.select("node", "label", "shingles").mapInArrow(tidy(run), "shingle long, node binary, label binary")
 
 
-def overfull_blocks(over: DataFrame, sets: DataFrame, region: int) -> DataFrame:
+def overfull_blocks(over: DataFrame, sets: DataFrame, region: int, tasks: int | None = None) -> DataFrame:
     """Members (cluster, one, two, node, label) of block pairs in which all alike nodes of different components meet.
 
     Alike sets share one of their rarest shingles (a prefix-filter join). Nodes that shingles found in several
@@ -335,11 +374,12 @@ def overfull_blocks(over: DataFrame, sets: DataFrame, region: int) -> DataFrame:
     dealt into blocks, the large components each into blocks of their own, and every two blocks meet, unless
     they are of one component.
     """
-    found = stage(prefixes(over.join(sets, "node")), "prefixes")
+    full = stage_in(over.join(sets, "node"), "overfull-sets", tasks)
+    found = stage_in(prefixes(full), "prefixes", tasks)
     hubs = found.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("hub")).where("lo != hi").select("shingle", "hub")
-    edges = stage(found.join(hubs, "shingle").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "cluster-edges")
-    clusters = contract(edges, None).select("node", F.col("label").alias("cluster"))
-    named = stage(clusters.join(over, "node"), "clusters")
+    edges = found.join(hubs, "shingle").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    clusters = contract(edges, None, tasks).select("node", F.col("label").alias("cluster"))
+    named = stage_in(clusters.join(over, "node"), "clusters", tasks)
     half = max(1, region // 2)
     of_label = named.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     large = of_label.where(F.col("n") > half).select("cluster", "label", F.ceil(F.col("n") / half).alias("own"))
@@ -347,7 +387,8 @@ def overfull_blocks(over: DataFrame, sets: DataFrame, region: int) -> DataFrame:
     dealt = named.join(large, ["cluster", "label"], "left").join(small, "cluster", "left")
     share = F.pmod(F.xxhash64("node"), F.coalesce("own", "pooled"))
     # a block is named by its component if that is large (else empty) and its share
-    dealt = stage(dealt.select("cluster", "node", "label", F.when(F.col("own").isNotNull(), F.col("label")).otherwise(F.lit(b"")).alias("whose"), share.alias("share")), "blocks")
+    whose = F.when(F.col("own").isNotNull(), F.col("label")).otherwise(F.lit(b"")).alias("whose")
+    dealt = stage_in(dealt.select("cluster", "node", "label", whose, share.alias("share")), "blocks", tasks)
     block = F.struct("whose", "share")
     blocks = dealt.select("cluster", block.alias("one")).distinct()
     pairs = blocks.join(blocks.select("cluster", F.col("one").alias("two")), "cluster").where("one <= two and (one.whose != two.whose or one.whose = X'')")
@@ -418,22 +459,23 @@ def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     described = stage(describe(docs, text, doc, row), "described")
     nodes = stage(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature")), "nodes")
+    tasks = min(partitions, max(12, -(-nodes.count() // NODES_PER_TASK)))
     pairs, members = sorted_neighbours(forest_rows(nodes), partitions)
-    pairs, members = stage(pairs, "pairs"), stage(members, "members")
+    pairs, members = stage_in(pairs, "pairs", tasks), stage_in(members, "members", tasks)
     ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "depth").unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other"), "depth"))
     best = ends.groupBy("node").agg(F.max(F.struct("depth", "other")).alias("best"))
-    first = stage(best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct(), "first")
+    first = stage_in(best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct(), "first", tasks)
     needed = members.select("node").distinct().join(nodes.select("node", "doc"), "node")
-    sets = stage(sets_of(docs, needed, text, doc).dropDuplicates(["node"]), "sets")
-    labels = contract(confirm(first, sets), None)
+    sets = stage_in(sets_of(docs, needed, text, doc).dropDuplicates(["node"]), "sets", tasks)
+    labels = contract(confirm(first, sets), None, tasks)
     rest = across(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels)
-    second = stage(alike(rest, nodes), "second")
-    labels = _merge(confirm(second, sets), labels)
-    mixed, over = mixed_regions(members, labels, region)
-    labels = _merge(group_links(promising(mixed, nodes, partitions), sets, ["region"], partitions), labels)
+    second = stage_in(alike(rest, nodes), "second", tasks)
+    labels = _merge(confirm(second, sets), labels, tasks)
+    mixed, over = mixed_regions(members, labels, region, tasks)
+    labels = _merge(group_links(promising(mixed, nodes, partitions), sets, ["region"], partitions), labels, tasks)
     if over.limit(1).count():
         over = over.select("node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        labels = _merge(group_links(overfull_blocks(over, sets, region), sets, ["cluster", "one", "two"], partitions), labels)
+        labels = _merge(group_links(overfull_blocks(over, sets, region, tasks), sets, ["cluster", "one", "two"], partitions), labels, tasks)
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
     of_node = named.join(least, "label").select("node", "label", "component_id")
@@ -443,7 +485,7 @@ def components(docs: DataFrame, text: str = "text", doc: str = "doc_id", region:
                       *([F.col("row").alias(row), "label"] if row else []))
 
 
-def _merge(links: DataFrame, labels: DataFrame) -> DataFrame:
+def _merge(links: DataFrame, labels: DataFrame, tasks: int | None = None) -> DataFrame:
     """Labels after confirmed links between nodes of different components."""
     crossing = across(links, labels).select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
-    return contract(crossing, labels)
+    return contract(crossing, labels, tasks)

@@ -111,6 +111,37 @@ def test_contraction_joins_a_long_path(spark):
     assert len(labels) == 121 and len({bytes(r["label"]) for r in labels}) == 1
 
 
+@pytest.mark.parametrize("rest", [0, 40, 10_000])
+def test_contraction_by_rounds_and_by_its_rest(spark, rest):
+    name = lambda i: hashlib.md5(b"%d" % i).digest()
+    pairs = [(i, i + 1) for i in range(0, 90)] + [(200, i) for i in range(201, 230)] + [(300, 301), (301, 302), (302, 300), (300, 301)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([(name(i), name(j)) for i, j in pairs], "a binary, b binary").mapInArrow(counted, "a binary, b binary")
+    labels = {bytes(r["node"]): bytes(r["label"]) for r in minhash_forest.contract(edges, None, rest=rest).collect()}
+    assert seen.value == len(pairs)  # the edges, often whole joins and matrix products, are worked out once
+    parts = [range(91), range(200, 230), range(300, 303)]
+    assert len(labels) == sum(map(len, parts))
+    assert [len({labels[name(i)] for i in part}) for part in parts] == [1, 1, 1] and len(set(labels.values())) == 3
+    earlier = spark.createDataFrame([(k, v) for k, v in labels.items()], "node binary, label binary")
+    more = spark.createDataFrame([(labels[name(0)], labels[name(200)]), (labels[name(200)], name(999))], "a binary, b binary")
+    after = {bytes(r["node"]): bytes(r["label"]) for r in minhash_forest.contract(more, earlier, rest=rest).collect()}
+    assert len(after) == len(labels) + 1 and len({after[name(i)] for i in (0, 90, 200, 229, 999)}) == 1 and after[name(300)] == after[name(302)] != after[name(0)]
+
+
+def test_a_small_rest_needs_no_rounds(spark, monkeypatch):
+    made, keep = [], minhash_forest.stage
+    monkeypatch.setattr(minhash_forest, "stage", lambda df, name: made.append(name) or keep(df, name))
+    edges = spark.createDataFrame([(b"%d" % i, b"%d" % (i + 1)) for i in range(3000)], "a binary, b binary")
+    assert minhash_forest.contract(edges, None).select("label").distinct().count() == 1
+    assert made == ["edges", "step", "labels"]
+
+
 @pytest.mark.parametrize("options", [{}, {"hot": 2, "hot_pack": 2, "pack_bytes": 20_000}])
 @pytest.mark.parametrize("width", [24, 200])
 def test_byte_repeats_match_brute_force(odd_docs, odd_rows, width, options):
