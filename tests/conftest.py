@@ -29,3 +29,12 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="strata-test-")
+
+
+@pytest.fixture(autouse=True, scope="module")
+def no_views_left(spark):
+    """Temporary views belong to the session and are listed with every schema: they end with the module that made them."""
+    yield
+    for t in spark.catalog.listTables():
+        if t.isTemporary:
+            spark.catalog.dropTempView(t.name)
